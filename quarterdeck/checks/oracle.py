@@ -154,15 +154,16 @@ def _layout(c: str) -> str:
     blocks = "|".join(html.BLOCKS.split())
     steps = [
         (html.UNSEEN_LAYOUT, ""),
-        (_TAG, r"<\1>"),
         ("[ \t\r\n\f]+", " "),
+        (_TAG, r"<\1>"),
         ("(?i)<br>", html.BREAK),
         ("(?i)(<tr> ?)<t[dh]>", r"\1"),
-        ("(?i) ?<t[dh]> ?", html.CELL),
+        ("(?i)<t[dh]>", html.CELL),
         ("(?i)</?p>", html.PARAGRAPH),
         (f"(?i)</?(?:{blocks})>", html.LINE),
         (html.OTHER_TAG, ""),
         (" +", " "),
+        (f" *{html.CELL} *", html.CELL),
         (f"[{html.LINE} ]*{html.PARAGRAPH}[{html.LINE}{html.PARAGRAPH} ]*", "\n\n"),
         (f" *{html.LINE}[{html.LINE} ]*", "\n"),
         (f" *{html.BREAK} *", "\n"),

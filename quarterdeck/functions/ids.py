@@ -34,7 +34,9 @@ def pad_cik(cik: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     """ISO dates with or without dashes; anything else is null."""
-    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "yyyyMMdd"))
+    return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(text, "yyyy-MM-dd")).when(
+        text.rlike("^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd")
+    )
 
 
 def digest_id(text: Column) -> Column:

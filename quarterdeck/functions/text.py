@@ -54,12 +54,17 @@ class StandardizeOptions:
     rm_special: bool = True
 
 
-def to_ascii(text: Column) -> Column:
-    """Fold Latin letters and common signs to ASCII. Pure ASCII text skips the character walk."""
+def to_ascii(text: Column, letters_only: bool = False) -> Column:
+    """Fold Latin letters and common signs to ASCII. Pure ASCII text skips the character walk.
+
+    ``letters_only`` says that signs and combining marks are gone already.
+    """
     folded = F.translate(text, FOLD_FROM, FOLD_TO)
     for sign, plain in FOLD_LONGER.items():
-        folded = F.replace(folded, F.lit(sign), F.lit(plain))
-    folded = F.regexp_replace(folded, r"([A-Za-z0-9])\p{Mn}+", "$1")
+        if not letters_only or sign.isalnum():
+            folded = F.replace(folded, F.lit(sign), F.lit(plain))
+    if not letters_only:
+        folded = F.regexp_replace(folded, r"([A-Za-z0-9])\p{Mn}+", "$1")
     return F.when(F.octet_length(text) == F.length(text), text).otherwise(folded)
 
 
@@ -90,7 +95,7 @@ def standardize_text(text: Column, options: StandardizeOptions = StandardizeOpti
         if o.rm_space:
             text = F.regexp_replace(text, rf"[{SPACE}]+", " ")
     if o.to_ascii:
-        text = to_ascii(text)
+        text = to_ascii(text, o.rm_punct and o.rm_special)
     if o.to_upper:
         text = F.upper(text)
     if o.trim:

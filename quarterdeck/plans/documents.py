@@ -92,8 +92,8 @@ def parse_documents(
         F.when(ext.isin(TEXT_EXTENSIONS), decode_text(F.col("content"), encoding)).alias("HTML"),
     )
     is_page = F.col("DocExt").isin(HTML_EXTENSIONS)
-    paged = add_html_text(named.withColumn("__page", F.when(is_page, F.col("HTML"))), "__page", "__text")
-    read = paged.withColumn("TextRaw", F.when(is_page, F.col("__text")).otherwise(F.col("HTML")))
+    paged = add_html_text(named.withColumn("__page", F.when(is_page, F.col("HTML"))), "__page", "__shown")
+    read = paged.withColumn("TextRaw", F.when(is_page, F.col("__shown")).otherwise(F.col("HTML")))
     message = F.when(
         F.col("HTML").isNull(), F.concat(F.col("DocExt"), F.lit(" is not supported"))
     ).when(F.col("TextRaw").isNull() & (F.col("HTML") != ""), F.lit("no text found"))

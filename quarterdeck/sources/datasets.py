@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import only_ids
+from ..operators.stages import spread
 from ..schemas import FIRST_PERIOD
 
 
-def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """A Parquet file, or a folder of them."""
-    return spark.read.parquet(*([path] if isinstance(path, str) else path))
+def read_table(spark: SparkSession, path: str | Sequence[str], heavy: bool = False) -> DataFrame:
+    """A Parquet file, or a folder of them; ``heavy`` announces work that takes much time per byte."""
+    table = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    return spread(table) if heavy else table
 
 
 def select_filings(
