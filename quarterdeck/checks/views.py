@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import digest_id, document_id, label_from_number
 from ..functions.urls import url_absolute
+from ..operators.stages import even
 from ..operators.types import FULL_TEXT_DESCRIPTION, TypeRule
 from ..schemas import ARCHIVE_BASE
 from ..sinks.tables import QUARTER
@@ -60,9 +61,8 @@ def raw_filings(orders: DataFrame, customer: DataFrame) -> DataFrame:
 EXTRA = ["OrderKey", "Status", "Nation", "Segment"]
 
 
-def filings(spark: SparkSession, sf: str, keep: tuple[str, ...] = (), heavy: bool = False) -> DataFrame:
-    orders = read_table(spark, f"{sf}/orders.parquet", heavy)
-    return add_filing_ids(raw_filings(orders, table(spark, sf, "customer")), keep)
+def filings(spark: SparkSession, sf: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return add_filing_ids(raw_filings(table(spark, sf, "orders"), table(spark, sf, "customer")), keep)
 
 
 def processed(index: DataFrame) -> DataFrame:
@@ -88,10 +88,10 @@ def index_lines(spark: SparkSession, sf: str) -> DataFrame:
     return lines.unionByName(heads)
 
 
-def line_items(spark: SparkSession, sf: str, heavy: bool = False) -> DataFrame:
+def line_items(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as raw links of filings: Href and the columns of a link table, with OrderKey's filing keys."""
     index = filings(spark, sf, ("OrderKey", "Status")).select("HashIndex", "CIK", "YearQuarter", "OrderKey", "Status")
-    items = read_table(spark, f"{sf}/lineitem.parquet", heavy).join(index, F.col("l_orderkey") == F.col("OrderKey"))
+    items = table(spark, sf, "lineitem").join(index, F.col("l_orderkey") == F.col("OrderKey"))
     line = F.col("l_linenumber")
     ext = (
         F.when(line == 1, F.lit(".htm")).when(line == 2, F.lit(".HTML")).when(line == 3, F.lit(".txt"))
@@ -149,7 +149,7 @@ def _html(*parts: Column | str) -> Column:
 
 def link_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A page for every line item: a link table with its document and with the whole submission."""
-    items = line_items(spark, sf, heavy=True)
+    items = even(line_items(spark, sf))
     open_block = F.when(F.col("LineStatus") == "O", F.lit('<div class="x formDiv">')).otherwise(F.lit('<div id="formDiv">'))
     return items.select(
         "HashIndex",
@@ -173,7 +173,7 @@ def link_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def landing_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A landing page for every filing; urgent open filings have none, open filings name a second company."""
-    index = filings(spark, sf, tuple(EXTRA), heavy=True)
+    index = even(filings(spark, sf, tuple(EXTRA)))
     order, nation = F.col("OrderKey"), F.col("Nation")
     second = F.when(
         F.col("Status") == "O",

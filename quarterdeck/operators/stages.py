@@ -23,3 +23,13 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def even(df: DataFrame) -> DataFrame:
+    """Deal narrow rows out evenly before a step that takes much time per row.
+
+    After a join, hot keys leave uneven partitions and small results are gathered in few of them.
+    """
+    spark = df.sparkSession
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(shuffles, spark.sparkContext.defaultParallelism))
