@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import quarter_label
 from ..operators.quality import empty_outputs, log_message, log_rows
 from ..sinks.tables import QUARTER, append_run_log, read_if_exists, write_new_partitions
-from ..sources.index_text import parse_index, read_index_lines
+from ..sources.index_text import file_period, parse_index, read_index_lines
 from .periods import pending_periods, period_grid
 
 
@@ -46,11 +46,11 @@ def build_index(
     if existing is not None:
         grid = pending_periods(grid, existing.withColumnRenamed(QUARTER, "YearQtrSave"))
 
-    parsed = parse_index(read_index_lines(spark, raw_dir))
-    label = quarter_label(F.col("Year"), F.col("Quarter"))
-    filings = parsed.filings.withColumn(QUARTER, label)
-    wanted = filings.join(grid.select(F.col("YearQtrSave").alias(QUARTER)), QUARTER, "left_semi")
-    write_new_partitions(spark, wanted, table)
+    # Lines of other periods are dropped before anything is parsed.
+    lines = read_index_lines(spark, raw_dir).withColumn("YearQtrSave", quarter_label(*file_period(F.col("file"))))
+    parsed = parse_index(lines.join(grid.select("YearQtrSave"), "YearQtrSave", "left_semi"))
+    filings = parsed.filings.withColumn(QUARTER, quarter_label(F.col("Year"), F.col("Quarter")))
+    write_new_partitions(spark, filings, table)
     parsed.quarantine.write.mode("append").parquet(f"{out_dir}/Quarantine")
 
     built = spark.read.parquet(table)

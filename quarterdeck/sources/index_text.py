@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import digest_id, pad_cik, parse_date, year_quarter
@@ -34,6 +34,13 @@ def _header_pattern() -> str:
     return "(?i)^" + r"\|".join(names) + "$"
 
 
+def file_period(file: Column) -> tuple[Column, Column]:
+    """Year and quarter of an index file, from its path."""
+    pattern = r"/([0-9]{4})/QTR([1-4])/[^/]*$"
+    parts = (F.nullif(F.regexp_extract(file, pattern, group), F.lit("")).cast("int") for group in (1, 2))
+    return tuple(parts)
+
+
 def parse_index(lines: DataFrame) -> ParsedIndex:
     """Index lines to typed filings, and the lines set aside with a reason.
 
@@ -52,8 +59,7 @@ def parse_index(lines: DataFrame) -> ParsedIndex:
     )
     marked = data.withColumn("Reason", reason)
 
-    year = F.regexp_extract("file", r"/([0-9]{4})/QTR([1-4])/[^/]*$", 1).try_cast("int")
-    quarter = F.regexp_extract("file", r"/([0-9]{4})/QTR([1-4])/[^/]*$", 2).try_cast("int")
+    year, quarter = file_period(F.col("file"))
     flat = marked.filter(F.col("Reason").isNull()).select(
         year.alias("Year"), quarter.alias("Quarter"), *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(FIELDS)]
     )
