@@ -34,8 +34,12 @@ DOC_RULES = [
 ]
 
 
+# Tables whose rows are hashed, rendered or parsed.
+HEAVY = {"documents", "pages", "orders", "lineitem"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet", heavy=name in ("documents", "pages"))
+    return read_table(spark, f"{sf}/{name}.parquet", heavy=name in HEAVY)
 
 
 def raw_filings(orders: DataFrame, customer: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def test_periods(spark):
 
 def test_build_index(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
-    good = "320193|Apple|10-K|2020-01-31|edgar/data/320193/1.txt\n12345678901|Long|8-K|soon|edgar/data/1/2.txt\n"
+    good = "320193|Apple|10-K|2020-01-31|data/320193/1.txt\n12345678901|Long|8-K|soon|data/1/2.txt\n"
     write(raw / "2020" / "QTR1" / "master.idx", PREAMBLE + HEADER + good + "1|Pipe|Co|8-K|2020-01-01|x.txt\n")
     write(raw / "2020" / "QTR2" / "master.idx", PREAMBLE + "Cik|Name|A|B|C\n----\n1|A|8-K|2020-04-01|x.txt\n")
     write(raw / "2020" / "QTR3" / "master.idx", "")
@@ -35,7 +35,7 @@ def test_build_index(spark, tmp_path):
     rows = {r.CIK: r for r in built.collect()}
     assert set(rows) == {"0000320193", "12345678901"}
     apple = rows["0000320193"]
-    assert apple.UrlIndexPage == "https://www.sec.gov/Archives/edgar/data/320193/1-index.html"
+    assert apple.UrlIndexPage == "https://www.sec.gov/Archives/data/320193/1-index.html"
     assert (apple.DateFiled, apple.YearQuarter, apple.YearQtr) == (date(2020, 1, 31), 2020.1, "2020-1")
     assert rows["12345678901"].DateFiled is None
     assert set(MASTER_INDEX.fieldNames()) <= set(built.columns)
@@ -44,7 +44,7 @@ def test_build_index(spark, tmp_path):
     log = spark.read.option("header", True).csv(out + "/Log").collect()
     assert sorted(r.Level for r in log) == ["ERROR", "ERROR", "ERROR", "INFO"]
     # A second run adds only what is new.
-    write(raw / "2020" / "QTR4" / "master.idx", PREAMBLE + HEADER + "7|New|10-K|20201231|edgar/data/7/9.txt\n")
+    write(raw / "2020" / "QTR4" / "master.idx", PREAMBLE + HEADER + "7|New|10-K|20201231|data/7/9.txt\n")
     assert index.build_index(spark, str(raw), out, date(2021, 1, 1), from_=2020.1).count() == 3
 
 
