@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import exact_dedup, line_dedup, shards, simhash
+import corpus_pipeline
+from quarterdeck.llm import bpe, exact_dedup, line_dedup, packing, paragraphs, shards, simhash, topk, toxicity, wavelet
 from quarterdeck.llm.common import table
 
 QUERIES = {}
@@ -17,17 +18,47 @@ def query(fn):
     return fn
 
 
+@query
+def op1_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shards.minimax_shards(table(spark, sf_dir, "documents"))
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query
+def op3_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
@@ -38,6 +69,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+ORACLE["op3_norm_buckets"] = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::HUGEINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM good q JOIN good c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
 ORACLE["op9_line_dedup"] = r"""
 WITH pieces AS (
   SELECT doc_id, string_split(text, chr(10)) AS p FROM documents
