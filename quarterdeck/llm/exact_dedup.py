@@ -39,8 +39,8 @@ def exact_dedup(docs: DataFrame, salts: int = 16, digest=lambda text: F.sha2(tex
     Texts are equal if they are identical after white space (``WHITE``) is deleted. Of equal texts the row with
     the most code points stays, then the smallest doc_id.
 
-    Nulls and ties: a null text counts as empty, and all empty texts are one group. A row without doc_id stays
-    only if its whole group has none (keep_id null). Rows that repeat a doc_id with an equal text are one
+    Nulls and ties: a null text counts as empty, and all empty texts are one group. Among texts of one length a row
+    without doc_id comes last; where such a row stays, keep_id is null. Rows that repeat a doc_id with an equal text are one
     document and share ``kept``; group_size counts them all. Other columns are not read; an empty table gives
     an empty result. ``digest`` may collide: groups are told apart by their whole texts.
     """

@@ -95,7 +95,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents whose doc_id names their component: one of each group, with all columns of ``docs``.
 
-    Rows without doc_id can't be told apart and stay; rows that repeat a kept doc_id stay with it.
+    Rows without doc_id can't be told apart and stay; rows that repeat a doc_id go if one of them does.
     """
     dropped = simhash_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
