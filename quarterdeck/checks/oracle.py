@@ -396,9 +396,10 @@ ORACLE: dict[str, str] = {
             WHEN Status IS NULL OR Status NOT BETWEEN 200 AND 299 THEN concat('Status Code (', coalesce(CAST(Status AS VARCHAR), 'NA'), ')')
             END AS Reason FROM responses)
         SELECT CASE WHEN Reason IS NULL THEN 'valid' ELSE 'quarantine' END AS Part, ResponseId, Status, Error, Reason FROM r""",
-    "quarantine_content": """WITH c AS (SELECT doc_id, regexp_extract(text, '[0-9]+', 0) AS Content FROM documents)
-        SELECT CASE WHEN Content = '' THEN 'quarantine' ELSE 'valid' END AS Part, doc_id, Content,
-          CASE WHEN Content = '' THEN 'Content is Empty' END AS Reason FROM c""",
+    "quarantine_content": """WITH c AS (SELECT doc_id, lang = 'es' OR source = 'src1' AS bad,
+          CASE WHEN lang = 'es' THEN ' ' || chr(10) WHEN source <> 'src1' THEN text END AS Content FROM documents)
+        SELECT CASE WHEN bad THEN 'quarantine' ELSE 'valid' END AS Part, doc_id, Content,
+          CASE WHEN bad THEN 'Content is Empty' END AS Reason FROM c""",
     "empty_outputs": f"""WITH {FILINGS}, k AS (SELECT {_pad("CAST(c_custkey AS VARCHAR)")} AS CIK FROM customer),
         n AS (SELECT CIK, count(*) AS r FROM filings WHERE Year = 1998 GROUP BY CIK)
         SELECT k.CIK, coalesce(r, 0) AS nRows, CASE WHEN r IS NULL THEN 'Output Table has 0 Rows' END AS Reason

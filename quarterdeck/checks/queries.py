@@ -120,7 +120,7 @@ def page_links(spark, sf):
 @query
 def url_absolute(spark, sf):
     found = links.page_anchors(table(spark, sf, "pages"), ["page_id", "url"], F.col("url"))
-    relative = F.substring(F.col("Href"), 2, 10000)
+    relative = F.expr("substring(Href, 2)")
     base = F.col("url")
     return found.select(
         "page_id",
@@ -438,8 +438,9 @@ def quarantine_status(spark, sf):
 
 @query
 def quarantine_content(spark, sf):
-    # The first number of each document; those without digits are empty.
-    found = table(spark, sf, "documents").select("doc_id", F.regexp_extract("text", "[0-9]+", 0).alias("Content"))
+    # Whole texts; those of one language stand blank, those of one source missing.
+    body = F.when(F.col("lang") == "es", F.lit(" \n")).when(F.col("source") != "src1", F.col("text"))
+    found = table(spark, sf, "documents").select("doc_id", body.alias("Content"))
     checked = quality.split_valid(found, quality.content_reason(F.col("Content")))
     return reshape.union_sources({"valid": checked.valid, "quarantine": checked.quarantine}, "Part")
 

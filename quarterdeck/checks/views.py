@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import digest_id, document_id, label_from_number
 from ..functions.urls import url_absolute
-from ..operators.stages import even
 from ..operators.types import FULL_TEXT_DESCRIPTION, TypeRule
 from ..schemas import ARCHIVE_BASE
 from ..sinks.tables import QUARTER
@@ -34,12 +33,8 @@ DOC_RULES = [
 ]
 
 
-# Tables whose rows are hashed, rendered or parsed.
-HEAVY = {"documents", "pages", "orders", "lineitem"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet", heavy=name in HEAVY)
+    return read_table(spark, f"{sf}/{name}.parquet")
 
 
 def raw_filings(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -153,7 +148,7 @@ def _html(*parts: Column | str) -> Column:
 
 def link_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A page for every line item: a link table with its document and with the whole submission."""
-    items = even(line_items(spark, sf))
+    items = line_items(spark, sf)
     open_block = F.when(F.col("LineStatus") == "O", F.lit('<div class="x formDiv">')).otherwise(F.lit('<div id="formDiv">'))
     return items.select(
         "HashIndex",
@@ -177,7 +172,7 @@ def link_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def landing_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A landing page for every filing; urgent open filings have none, open filings name a second company."""
-    index = even(filings(spark, sf, tuple(EXTRA)))
+    index = filings(spark, sf, tuple(EXTRA))
     order, nation = F.col("OrderKey"), F.col("Nation")
     second = F.when(
         F.col("Status") == "O",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -24,16 +25,29 @@ LATIN_ASCII = {
     "‹": "<", "›": ">", "․": ".", "‥": "..", "…": "...", "⁄": "/",
 }
 
+# Latin letters beyond ASCII, and the full-width forms of ASCII.
+_LETTERS = [*range(0x00C0, 0x0250), *range(0x0250, 0x02B0), *range(0x1D6B, 0x1D7A), *range(0x1E00, 0x1F00), *range(0x2C60, 0x2C80)]
+_FULL_WIDTH = range(0xFF01, 0xFF5F)
+_NAMED = re.compile(r"LATIN (CAPITAL|SMALL) LETTER ([A-Z]{1,2})( WITH .*)")
+
+
+def _plain(letter: str) -> str | None:
+    """ASCII form of a letter: its base letters if it is composed, else the letters that its Unicode name begins with."""
+    parts = [c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c)]
+    plain = "".join(LATIN_ASCII.get(c, c) for c in parts)
+    if parts and plain.isascii():
+        return plain
+    named = _NAMED.fullmatch(unicodedata.name(letter, ""))
+    return named and (named[2] if named[1] == "CAPITAL" else named[2].lower())
+
 
 def _folding_tables() -> tuple[str, str, dict[str, str]]:
     """One-to-one pairs for translate, and the longer replacements, from Unicode decompositions."""
     folded = dict(LATIN_ASCII)
-    for code in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
-        parts = unicodedata.normalize("NFD", chr(code))
-        base, marks = parts[0], parts[1:]
-        plain = LATIN_ASCII.get(base, base)
-        if marks and plain.isascii() and all(unicodedata.combining(m) for m in marks):
-            folded[chr(code)] = plain
+    for letter in map(chr, [*_LETTERS, *_FULL_WIDTH]):
+        plain = _plain(letter)
+        if plain and letter not in folded:
+            folded[letter] = plain
     single = {k: v for k, v in folded.items() if len(v) == 1}
     longer = {k: v for k, v in folded.items() if len(v) > 1}
     return "".join(single), "".join(single.values()), longer

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A list of this many ids still fits a pushed-down filter; longer ones are joined.
-MAX_PUSHED_IDS = 1000
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first in ``order``.
 
@@ -22,15 +18,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
 
 def only_ids(df: DataFrame, column: str, ids: DataFrame | Sequence[str] | None) -> DataFrame:
-    """Rows whose id is wanted; None keeps all. Short lists reach the scan, tables are semi-joined."""
+    """Rows whose id is wanted; None keeps all.
+
+    A list becomes a filter that reaches the scan, a table is semi-joined: pass ids that are many as a table.
+    """
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
         return df.join(ids.select(F.col(ids.columns[0]).alias(column)), column, "left_semi")
-    if len(ids) <= MAX_PUSHED_IDS:
-        return df.filter(F.col(column).isin(list(ids)))
-    wanted = df.sparkSession.createDataFrame([(i,) for i in ids], f"{column} string")
-    return df.join(wanted, column, "left_semi")
+    return df.filter(F.col(column).isin(list(ids)))
 
 
 def not_done(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -21,7 +21,8 @@ _GROUP = "__group"
 
 
 def _cut(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
-    return df.withColumn(_GROUP, F.struct(*keys, bucket.alias("__bucket")))
+    """The rows dealt out by group and bucket, once: totals, join and window all find them in place."""
+    return df.withColumn(_GROUP, F.struct(*keys, bucket.alias("__bucket"))).repartition(_GROUP)
 
 
 def _across(keys: Sequence[str]) -> WindowSpec:
@@ -72,5 +73,8 @@ def fill_down(
 
 
 def hash_bucket(digest: Column, digits: int = 3) -> Column:
-    """Bucket for rows ordered by a hex digest: its first digits, so 16**digits even buckets."""
+    """Bucket for rows ordered by a hex digest: its first digits, so 16**digits even buckets.
+
+    Raise ``digits`` with the data: a bucket is one task's work, so the largest group over 16**digits must fit one.
+    """
     return F.substring(digest, 1, digits)

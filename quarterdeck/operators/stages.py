@@ -1,10 +1,12 @@
-"""Keeping expensive expressions from being repeated, and small inputs from staying on few cores."""
+"""Keeping expensive expressions and inputs from being computed twice."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that later steps use or filter by.
@@ -16,20 +18,8 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", packed).select(*df.columns, *[F.col(f"__once.{name}").alias(name) for name in columns])
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a plain scan over all cores when its files give fewer splits than there are cores.
-
-    For steps that take much time per byte. A large table has more splits than cores and is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def even(df: DataFrame) -> DataFrame:
-    """Deal narrow rows out evenly before a step that takes much time per row.
-
-    After a join, hot keys leave uneven partitions and small results are gathered in few of them.
-    """
-    spark = df.sparkSession
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(shuffles, spark.sparkContext.defaultParallelism))
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new shared folder and read it back: for inputs that several outputs are made from."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.clean import trim_blanks
 from ..functions.html import add_html_text
 from ..functions.ids import label_from_number
 from ..functions.text import StandardizeOptions, standardize_text
@@ -14,6 +16,7 @@ from ..functions.urls import HTML_EXTENSIONS, TEXT_EXTENSIONS, base_name, file_e
 from ..operators.keys import keep_first, not_done, only_ids
 from ..operators.ordered import hash_bucket, number_rows
 from ..operators.reshape import nest_groups
+from ..operators.stages import staged
 from ..schemas import PARSED_DOCUMENT
 from ..sinks.tables import balance, read_if_exists, write_partitioned
 from ..sources.files import decode_text, read_files
@@ -24,6 +27,7 @@ GROUP = ["TypeSave", "YQSave"]
 def docs_by_type(links: DataFrame, types: DataFrame, ids: DataFrame | Sequence[str] | None = None) -> DataFrame:
     """Wanted documents with their modified type, labels, extension and paths; unknown types drop out."""
     raw = only_ids(links, "DocID", ids).select("YearQuarter", F.col("Type").alias("DocTypeRaw"), "DocID", "UrlDocument")
+    # Pass the saved lookup: its file's size lets Spark broadcast it, where counted types would shuffle all links by type.
     typed = raw.join(types.select("DocTypeRaw", "DocTypeMod"), "DocTypeRaw")
     named = typed.select(
         "YearQuarter",
@@ -61,20 +65,20 @@ def _digest_part(doc_id: str = "DocID"):
     return F.substring_index(F.col(doc_id), "-", -1)
 
 
-def group_progress(docs: DataFrame) -> DataFrame:
-    """Position and size of each document's group, and the line to report it with."""
+def group_progress(docs: DataFrame, digits: int = 3) -> DataFrame:
+    """Position and size of each document's group, and the line to report it with; ``digits`` as in ``hash_bucket``."""
     order = [_digest_part(), F.col("DocID")]
-    counted = number_rows(docs, GROUP, order, hash_bucket(_digest_part()), "nRow", "nAll")
+    counted = number_rows(docs, GROUP, order, hash_bucket(_digest_part(), digits), "nRow", "nAll")
     # Counters with thousands separators.
     row, total = (F.format_number(c, 0) for c in ("nRow", "nAll"))
     shown = F.concat(F.col("TypeSave"), F.lit(": "), F.col("YQSave"), F.lit(" ("), row, F.lit("/"), total, F.lit(")"))
     return counted.withColumn("Print", shown)
 
 
-def nest_documents(docs: DataFrame, columns: Sequence[str] = ("DocID", "UrlDocument"), chunk_rows: int = 1000) -> DataFrame:
-    """Documents nested by type and quarter, in chunks of bounded size."""
+def nest_documents(docs: DataFrame, columns: Sequence[str] = ("DocID", "UrlDocument"), chunk_rows: int = 1000, digits: int = 3) -> DataFrame:
+    """Documents nested by type and quarter, in chunks of bounded size; ``digits`` as in ``hash_bucket``."""
     order = [_digest_part(), F.col("DocID")]
-    return nest_groups(docs, GROUP, order, hash_bucket(_digest_part()), columns, "Documents", chunk_rows)
+    return nest_groups(docs, GROUP, order, hash_bucket(_digest_part(), digits), columns, "Documents", chunk_rows)
 
 
 def parse_documents(
@@ -82,7 +86,7 @@ def parse_documents(
 ) -> DataFrame:
     """Raw files (path, content) to source, raw text and standardized text; one map-only pass in the JVM.
 
-    Unsupported files, and pages without any text, give an error row.
+    Files that are unsupported or cannot be decoded, and pages without any text, give an error row.
     """
     ext = file_extension(F.col("path"))
     named = files.select(
@@ -94,9 +98,11 @@ def parse_documents(
     is_page = F.col("DocExt").isin(HTML_EXTENSIONS)
     paged = add_html_text(named.withColumn("__page", F.when(is_page, F.col("HTML"))), "__page", "__shown")
     read = paged.withColumn("TextRaw", F.when(is_page, F.col("__shown")).otherwise(F.col("HTML")))
+    undecoded = F.lit(f"bytes are not {encoding}")
     message = F.when(
-        F.col("HTML").isNull(), F.concat(F.col("DocExt"), F.lit(" is not supported"))
-    ).when(F.col("TextRaw").isNull() & (F.col("HTML") != ""), F.lit("no text found"))
+        F.col("HTML").isNull(),
+        F.when(F.col("DocExt").isin(TEXT_EXTENSIONS), undecoded).otherwise(F.concat("DocExt", F.lit(" is not supported"))),
+    ).when(is_page & (trim_blanks(F.coalesce("TextRaw", F.lit(""))) == "") & (F.col("HTML") != ""), F.lit("no text found"))
     done = read.withColumn("TextMod", standardize_text(F.col("TextRaw"), options)).withColumn("MsgParse", message)
     extra = [c for c in files.columns if c not in ("path", "content")]
     return done.withColumn("ErrParse", F.col("MsgParse").isNotNull()).select(*PARSED_DOCUMENT.fieldNames(), *extra)
@@ -112,14 +118,34 @@ def build_documents(
 ) -> DataFrame:
     """Parse the landed files of pending documents and append them by type and quarter; returns that table.
 
-    The bytes as landed are what gets balanced over the tasks; they are parsed after that and written without
-    another shuffle, because the parsed row holds the same text three times. Many documents share a file.
+    Files lie below ``raw_dir`` in the folders of ``PathOrig`` (Original/type/quarter). The pending documents are joined to a
+    listing first, which opens no file; then only the folders that hold one are read. The bytes as landed are
+    what gets balanced over the tasks; they are parsed after that and written without another shuffle, because the parsed
+    row holds the same text three times.
     """
     path = f"{out_dir}/Parsed"
     pending = pending_documents(links, types, read_if_exists(spark, path), ids).select("DocID", *GROUP, "DocExt")
-    files = read_files(spark, raw_dir).select("path", "content")
-    keyed = files.withColumn("DocID", base_name(F.col("path"))).withColumn("DocExt", file_extension(F.col("path")))
-    wanted = keyed.join(pending, ["DocID", "DocExt"]).select("path", "content", *GROUP)
-    parsed = parse_documents(balance(wanted, GROUP))
-    write_partitioned(parsed, path, GROUP, compression="gzip", balanced=False)
-    return spark.read.parquet(path)
+    listed = read_files(spark, raw_dir).select("path").withColumns(_file_keys())
+    wanted = staged(listed.join(pending, [*GROUP, "DocID", "DocExt"]), "wanted-files")
+    # As many folders as there are types and quarters with pending files.
+    folders = [r.folder for r in wanted.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect()]
+    if folders:
+        files = read_files(spark, folders).select("path", "content")
+        rows = files.join(wanted.select("path", *GROUP), "path").select("path", "content", *GROUP)
+        write_partitioned(parse_documents(balance(rows, GROUP)), path, GROUP, compression="gzip", balanced=False)
+    built = read_if_exists(spark, path)
+    return built if built is not None else spark.createDataFrame([], _PARSED)
+
+
+_PARSED = T.StructType([*PARSED_DOCUMENT.fields, *[T.StructField(c, T.StringType()) for c in GROUP]])
+
+
+def _file_keys() -> dict[str, Column]:
+    """Group, id and extension of a landed file, from its path."""
+    folder = r"/Original/([^/]+)/([^/]+)/[^/]*$"
+    return {
+        "TypeSave": F.regexp_extract("path", folder, 1),
+        "YQSave": F.regexp_extract("path", folder, 2),
+        "DocID": base_name(F.col("path")),
+        "DocExt": file_extension(F.col("path")),
+    }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import quarter_label, year_quarter
@@ -18,23 +18,17 @@ def default_bounds(as_of: date) -> tuple[float, float]:
     return FIRST_PERIOD, float(f"{as_of.year}.{(as_of.month - 1) // 3}")
 
 
-def _index(period: Column) -> Column:
-    """2020.1 -> quarters since year 0."""
-    parts = F.split(period.cast("string"), r"\.")
-    return F.get(parts, F.lit(0)).cast("int") * 4 + F.get(parts, F.lit(1)).cast("int") - 1
-
-
 def grid_between(bounds: DataFrame) -> DataFrame:
-    """All periods from ``from`` to ``to``, one row of bounds in, one row per quarter out."""
-    first = F.greatest(_index(F.col("from")), F.lit(FIRST_YEAR * 4))
-    quarters = F.when(first <= _index(F.col("to")), F.sequence(first, _index(F.col("to"))))
-    at = bounds.select(F.explode(quarters).alias("i"))
-    pairs = at.select(F.floor(F.col("i") / 4).cast("int").alias("Year"), (F.col("i") % 4 + 1).cast("int").alias("Quarter"))
-    return pairs.select(
-        "Year",
-        "Quarter",
-        year_quarter(F.col("Year"), F.col("Quarter")).alias("YearQuarter"),
-        quarter_label(F.col("Year"), F.col("Quarter")).alias("YearQtrSave"),
+    """All periods whose number (2020.1 to 2020.4) lies between ``from`` and ``to``: one row of bounds in, one per quarter out.
+
+    Bounds need not be numbers of quarters: 2001.0 stands before the year's first quarter, 2001.5 behind its last.
+    """
+    first, last = F.greatest(F.floor("from"), F.lit(FIRST_YEAR)).cast("int"), F.floor("to").cast("int")
+    years = bounds.select("from", "to", F.explode(F.when(first <= last, F.sequence(first, last))).alias("Year"))
+    pairs = years.select("from", "to", "Year", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("Quarter"))
+    numbered = pairs.withColumn("YearQuarter", year_quarter(F.col("Year"), F.col("Quarter")))
+    return numbered.filter(F.col("YearQuarter").between(F.col("from"), F.col("to"))).select(
+        "Year", "Quarter", "YearQuarter", quarter_label(F.col("Year"), F.col("Quarter")).alias("YearQtrSave")
     )
 
 
@@ -43,8 +37,8 @@ def period_grid(
 ) -> DataFrame:
     """All periods of a range; the defaults are all complete quarters as of a day."""
     low, high = default_bounds(as_of)
-    low = low if from_ is None else from_
-    high = high if to is None else min(to, float(f"{as_of.year}.4"))
+    low = low if from_ is None else float(from_)
+    high = high if to is None else min(float(to), float(f"{as_of.year}.4"))
     return grid_between(spark.createDataFrame([(low, high)], "`from` double, `to` double"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import keep_first, not_done
+from ..operators.stages import staged
 
 QUARTER = "YearQtr"
 
@@ -43,12 +44,25 @@ def write_partitioned(
     rows.write.mode(mode).option("compression", compression).partitionBy(*by).parquet(path)
 
 
+def done_path(path: str) -> str:
+    """Where the names of a table's finished partitions are kept."""
+    return f"{path.rstrip('/')}.done"
+
+
 def write_new_partitions(spark: SparkSession, df: DataFrame, path: str, by: str = QUARTER) -> None:
-    """Write the partitions the table does not hold yet."""
-    existing = read_if_exists(spark, path)
-    if existing is not None:
-        df = not_done(df, existing.select(by).distinct(), [by])
-    write_partitioned(df, path, [by])
+    """Write the partitions that were not finished before.
+
+    A partition's name is noted after its files are written, so one that a failed run left half-written isn't taken for
+    finished: it is replaced as a whole. Names are few (one for each quarter of the calendar).
+    """
+    done = read_if_exists(spark, done_path(path))
+    if done is not None:
+        df = not_done(df, done, [by])
+    rows = staged(balance(df, [by]), "partitions")
+    names = rows.select(by).distinct()
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    writer.partitionBy(by).parquet(path)
+    names.coalesce(1).write.mode("append").parquet(done_path(path))
 
 
 def merge_new(
@@ -58,27 +72,25 @@ def merge_new(
     keys: Sequence[str],
     order: Sequence[Column | str],
     by: str = QUARTER,
-    only: Sequence[str] | None = None,
 ) -> None:
     """Merge rows into a table; of equal keys the existing row wins, then the first new one.
 
-    Since existing rows never change, the merge is an append of the rows whose key is new. No quarter is
-    rewritten, and a run repeated after a failure adds nothing twice. ``only`` names the partitions that
-    ``new`` touches, when known, so that the other ones are not read.
+    Since existing rows never change, the merge is an append of the rows whose key is new. No quarter is rewritten, and
+    a run repeated after a failure adds nothing twice. The new rows are staged, so that their quarters (as many
+    as the calendar has) can be told, and of the table only these are read.
     """
     rows = keep_first(new, [by, *keys], order)
     existing = read_if_exists(spark, path)
     if existing is not None:
-        if only is not None:
-            existing = existing.filter(F.col(by).isin(list(only)))
-        rows = not_done(rows, existing, [by, *keys])
+        rows = staged(rows, "merge")
+        rows = not_done(rows, touched(existing, rows, by), [by, *keys])
     write_partitioned(rows, path, [by])
 
 
-def merged(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The merge as a table: existing rows, then new ones, first per key."""
-    both = existing.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
-    return keep_first(both, keys, [F.col("__new"), *order]).drop("__new")
+def touched(existing: DataFrame, rows: DataFrame, by: str = QUARTER) -> DataFrame:
+    """The partitions of a table that ``rows`` fall in; the filter reaches the scan."""
+    quarters = [r[0] for r in rows.select(by).distinct().collect()]
+    return existing.filter(F.col(by).isin(quarters))
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:

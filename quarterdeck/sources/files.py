@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,27 @@ def read_files(spark: SparkSession, dirs: str | Sequence[str], recursive: bool =
 
 
 def decode_text(content: Column, encoding: str = "UTF-8") -> Column:
-    """Bytes to text. Broken UTF-8 becomes U+FFFD and the row survives."""
-    if encoding.upper() in ("UTF-8", "UTF8"):
+    """Bytes to text. Broken UTF-8 becomes U+FFFD and the row survives.
+
+    In other encodings bytes that stand for nothing give null: Spark's decoder would end the job. ASCII and Latin-1, of
+    which that can be told by a pattern, are decoded where they are sound; any other encoding is left to Python.
+    """
+    name = encoding.upper().replace("_", "-")
+    if name in ("UTF-8", "UTF8"):
         return F.make_valid_utf8(content.cast("string"))
-    return F.decode(content, encoding)
+    if name in ("US-ASCII", "ASCII"):
+        return F.when(~F.hex(content).rlike("^(?:..)*[89A-F]."), F.decode(content, "US-ASCII"))
+    if name in ("ISO-8859-1", "LATIN-1", "LATIN1"):
+        return F.decode(content, "ISO-8859-1")
+
+    @F.pandas_udf("string")
+    def decode(values: pd.Series) -> pd.Series:
+        def text(value: bytes | None) -> str | None:
+            try:
+                return None if value is None else value.decode(encoding)
+            except UnicodeDecodeError:
+                return None
+
+        return values.map(text)
+
+    return decode(content)

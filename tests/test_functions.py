@@ -95,3 +95,36 @@ def test_entities(spark):
 def test_broken_tags_are_linear(spark):
     attributes = 'a="1" ' * 3000
     assert page_text(spark, f"<p>ok</p><table {attributes}")[0].startswith("ok")
+
+
+def test_references_of_any_length(spark):
+    cases = {
+        "&apos;": "'", "&#0000000039;": "'", "&#x0000027;": "'", "&#99999999999;": "\ufffd", "&#xfffffffff;": "\ufffd",
+        "&thetasym;": "\u03d1", "&unknownreference;": "&unknownreference;", "a & b; c": "a & b; c",
+    }
+    assert each(spark, html.decode_entities, list(cases)) == list(cases.values())
+
+
+def test_tags_with_many_attributes_keep_their_layout(spark):
+    cell = "<table><tr><td>x<td " + " ".join(f"a{i}='>'" for i in range(2000)) + ">y</table>"
+    page = spark.createDataFrame([(cell,)], "html string")
+    assert html.add_html_text(page, "html", "text").first().text == "x\ty"
+
+
+def test_whole_numbers_of_any_length(spark):
+    values = ["1234567890123456789", "-9223372036854775808", "9223372036854775808", "12.9", "x", "", None, " +7 "]
+    assert each(spark, lambda c: clean.to_integer(c, "bigint"), values) == [1234567890123456789, -(2**63), None, 12, None, None, None, 7]
+    assert each(spark, clean.to_integer, ["2147483648", "2147483647"]) == [None, 2147483647]
+
+
+def test_letters_without_a_decomposition(spark):
+    raw = "\u0132\u0133 \u01c4\u01c6 \u0253\u0256 \uff21\uff41"
+    assert one(spark, text.to_ascii(F.col("c0")), raw) == "IJij DZdz bd Aa"
+
+
+def test_undecodable_bytes_are_null(spark):
+    from quarterdeck.sources.files import decode_text
+
+    rows = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"a\xff"),), (None,)], "b binary")
+    for name, wanted in {"US-ASCII": ["ok", None, None], "latin-1": ["ok", "aÿ", None], "UTF-8": ["ok", "a�", None], "shift_jis": ["ok", None, None]}.items():
+        assert [r[0] for r in rows.select(decode_text(F.col("b"), name)).collect()] == wanted, name

@@ -24,6 +24,13 @@ def test_periods(spark):
     assert periods.period_grid(spark, date(2024, 2, 1), from_=1900.1, to=1993.2).count() == 2
     assert periods.period_grid(spark, date(2024, 2, 1), from_=2030.1).count() == 0
 
+    def grid(low, high):
+        return [r.YearQtrSave for r in periods.period_grid(spark, date(2024, 2, 1), from_=low, to=high).orderBy("YearQuarter").collect()]
+
+    assert grid(2001.0, 2001.5) == grid(2001, 2001.45) == ["2001-1", "2001-2", "2001-3", "2001-4"]
+    assert grid(2001.1, 2002) == ["2001-1", "2001-2", "2001-3", "2001-4"] and grid(2001.15, 2001.3) == ["2001-2", "2001-3"]
+    assert periods.period_grid(spark, date(2024, 2, 1)).count() == 4 * 31
+
 
 def test_build_index(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
@@ -42,12 +49,36 @@ def test_build_index(spark, tmp_path):
     reasons = [r.Reason for r in spark.read.parquet(out + "/Quarantine").collect()]
     assert sorted(reasons) == ["Unexpected Header"] * 2 + ["Unexpected Number of Fields"]
     log = spark.read.option("header", True).csv(out + "/Log").collect()
-    assert sorted(r.Level for r in log) == ["ERROR", "ERROR", "ERROR", "INFO"]
+    assert sorted(r.Level for r in log) == ["ERROR", "ERROR", "ERROR", "INFO", "INFO"]
+    # Handled files are not read again, so nothing is set aside twice.
+    index.build_index(spark, str(raw), out, date(2021, 1, 1), from_=2020.1)
+    assert spark.read.parquet(out + "/Quarantine").count() == 3
+    assert spark.read.option("header", True).csv(out + "/Log").filter("Message = 'No New Year-Quarters'").count() == 1
     # A second run adds only what is new.
     write(raw / "2020" / "QTR4" / "master.idx", PREAMBLE + HEADER + "7|New|10-K|20201231|data/7/9.txt\n")
     assert index.build_index(spark, str(raw), out, date(2021, 1, 1), from_=2020.1).count() == 3
 
 
+def test_build_index_of_bad_files_only(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    write(raw / "2020" / "QTR2" / "master.idx", PREAMBLE + "Cik|Name|A|B|C\n----\n1|A|8-K|2020-04-01|x.txt\n")
+    for _ in range(2):
+        built = index.build_index(spark, str(raw), out, date(2021, 1, 1), from_=2020.1)
+        assert built.count() == 0 and set(MASTER_INDEX.fieldNames()) <= set(built.columns)
+    assert spark.read.parquet(out + "/Quarantine").count() == 2
+
+
+def test_half_written_partition_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("q", 1), ("q", 2), ("r", 3)], "YearQtr string, v int")
+    tables.write_partitioned(rows.filter("v = 1"), path, ["YearQtr"])  # a run that failed after one file
+    for _ in range(2):
+        tables.write_new_partitions(spark, rows, path)
+        assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    tables.write_new_partitions(spark, rows.withColumn("v", F.lit(9)), path)
+    assert spark.read.parquet(path).filter("v = 9").count() == 0
+
+
 LINK_PAGE = """<div class="formDiv"><table><tr><th>Seq</th><th>Document</th><th>Type</th><th>Size</th></tr>
 <tr><td>1</td><td><a href='/ix?doc=/Archives/a&amp;b.htm'>a &amp; b</a> x</td><td>10-K</td><td>12</td></tr>
 <tr><td></td><td>none</td><td>&nbsp;</td><td></td></tr></table>
@@ -68,6 +99,15 @@ def test_links(spark):
     chosen = links.extract_links(spark.createDataFrame([("h", "c", 2020.1, by_id)], pages.schema)).collect()
     assert [(r.Seq, r.Size) for r in chosen] == [(3, 4)]
     assert {r.HashIndex for r in links.pages_without_links(pages).collect()} == {"h2", "h3", "h4"}
+    spans = "<div id=formDiv><table><tr><th colspan=2>Seq<th>Document<th>Type<th>Size<tr><td COLSPAN='2'>3<td>d<td>t<td>4</table></div>"
+    wide = links.extract_links(spark.createDataFrame([("h", "c", 2020.1, spans)], pages.schema)).first()
+    assert (wide.Seq, wide.Document, wide.Type, wide.Size) == (3, "d", "t", 4)
+
+
+def test_anchors_in_every_form(spark):
+    page = """<a href='/x'>1</a><a class=k href=/y>2</a><A HREF="/z?a=1&amp;b=2">3</A><!-- <a href="/no">n</a> --><script>'<a href="/s">'</script>"""
+    found = links.page_anchors(spark.createDataFrame([(1, page)], "id int, html string"), ["id"], F.lit("https://h/"))
+    assert [(r.Seq, r.Href) for r in found.orderBy("Seq").collect()] == [(1, "/x"), (2, "/y"), (3, "/z?a=1&b=2")]
 
 
 def test_build_links_and_queue(spark, tmp_path):
@@ -84,6 +124,7 @@ def test_build_links_and_queue(spark, tmp_path):
         assert links.build_links(spark, filings, responses, out).count() == 2
     done = spark.read.parquet(out + "/Processed")
     assert {r.HashIndex for r in done.collect()} == {"h1", "h2"}
+    assert {r.HashIndex for r in spark.read.parquet(out + "/Pages").collect()} == {"h1", "h2"}
     queue = links.work_queue(links.pending_filings(filings, done))
     assert sorted(queue.groupBy("Seq").count().collect()) == [(1, 10), (2, 10), (3, 3)]
     links.write_queue(queue, str(tmp_path / "queue"))
@@ -110,16 +151,34 @@ def test_landing(spark):
     assert (rows["n", None].Error, rows["n", None].Message) == (1, "Error: No HTML Supplied")
 
 
+def test_landing_elements_leave_each_other_alone(spark):
+    """Control characters, and elements that leave a title or preformatted text open."""
+    rest = "<div class=mailer>Mailing Address X</div><p class=identInfo>Type: <b>8-K</b></p>"
+    heads = ["a\x1eb", "<title>open", "<pre>  open", "\x01\x02\x05\x06"]
+    pages = spark.createDataFrame([(str(k), f"<div id=formName>{h}</div>{rest}") for k, h in enumerate(heads)] + [("b", "  "), ("c", "")], "HashIndex string, HTML string")
+    rows = {r.HashIndex: r for r in landing.parse_landing(pages).collect()}
+    assert all((rows[str(k)].MailingAddress, rows[str(k)].Type) == ("X", "8-K") for k in range(4))
+    assert rows["0"].CurrentReport == "ab"
+    assert rows["b"].Error == rows["c"].Error == 1
+
+
+def test_unknown_attributes_fill_down_by_name(spark):
+    company = "<span class=companyName>C CIK: 1</span><p class=identInfo>{}</p>"
+    page = "".join(company.format(x) for x in ["A: 1 | B: 2", "C: 3", "A: 4"])
+    rows = {r.EntryNum: r.Other for r in landing.parse_landing(spark.createDataFrame([("p", page)], "HashIndex string, HTML string")).collect()}
+    assert rows == {1: {"A": "1", "B": "2"}, 2: {"A": "1", "B": "2", "C": "3"}, 3: {"A": "4", "B": "2", "C": "3"}}
+
+
 def test_documents(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "docs")
-    write(raw / "a" / "c-1.HTM", "<p>Grüße &amp; <b>mehr</b></p>")
-    write(raw / "c-2.txt", b"bad \xff byte")
-    write(raw / "c-3.pdf", b"%PDF")
-    write(raw / "c-4.htm", "<script>x</script>")
-    write(raw / "c-5.txt", "not wanted")
+    write(raw / "Original" / "AB" / "2020-1" / "c-1.HTM", "<p>Grüße &amp; <b>mehr</b></p>")
+    write(raw / "Original" / "AB" / "2020-1" / "c-2.txt", b"bad \xff byte")
+    write(raw / "Original" / "AB" / "2020-1" / "c-3.pdf", b"%PDF")
+    write(raw / "Original" / "AB" / "2020-1" / "c-4.htm", "<script>x</script>")
+    write(raw / "Original" / "AB" / "2020-1" / "c-5.txt", "not wanted")
     found = files.list_files(spark, str(raw), r"\.(txt|pdf)$", recursive=True)
     assert sorted(r.doc_id for r in found.collect()) == ["c-2", "c-3", "c-5"]
-    assert files.list_files(spark, str(raw)).count() == 4
+    assert files.list_files(spark, str(raw / "Original" / "AB" / "2020-1")).count() == 5
     rows = [("i", "c", f"c-{i}", str(i), 2020.1, i, None, None, t, 1, f"https://h/c.{e}")
             for i, t, e in [(1, "T", "HTM"), (2, "T", "txt"), (3, "T", "pdf"), (4, "T", "htm"), (5, "?", "txt"), (6, "T", "")]]
     table = spark.createDataFrame(rows, DOC_LINKS)
@@ -130,7 +189,7 @@ def test_documents(spark, tmp_path):
     assert (built["c-1"].TextRaw, built["c-1"].TextMod, built["c-1"].DocExt) == ("Grüße & mehr", "GRUSSE MEHR", "htm")
     assert built["c-2"].TextRaw == "bad � byte" and not built["c-2"].ErrParse
     assert (built["c-3"].MsgParse, built["c-3"].ErrParse) == ("pdf is not supported", True)
-    assert built["c-4"].TextRaw == "" or built["c-4"].ErrParse
+    assert (built["c-4"].MsgParse, built["c-4"].ErrParse) == ("no text found", True)
     assert (built["c-1"].TypeSave, built["c-1"].YQSave) == ("AB", "2020-1")
     assert documents.pending_documents(table, types, spark.read.parquet(out + "/Parsed")).count() == 0
 
@@ -139,11 +198,12 @@ def test_merge_keeps_existing(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([("q", "a", 2), ("q", "a", 1), ("r", "b", 1)], "YearQtr string, k string, v int")
     tables.merge_new(spark, first, path, ["k"], ["v"])
-    tables.merge_new(spark, first.withColumn("v", F.lit(9)).union(spark.createDataFrame([("q", "c", 3)], first.schema)), path, ["k"], ["v"], only=["q", "r"])
+    tables.merge_new(spark, first.withColumn("v", F.lit(9)).union(spark.createDataFrame([("q", "c", 3)], first.schema)), path, ["k"], ["v"])
     rows = {(r.YearQtr, r.k): r.v for r in spark.read.parquet(path).collect()}
     assert rows == {("q", "a"): 1, ("r", "b"): 1, ("q", "c"): 3}
-    again = tables.merged(first.filter("v = 1"), first.withColumn("v", F.lit(0)), ["YearQtr", "k"], ["v"])
-    assert {r.v for r in again.collect()} == {1}
+    # Only the quarters that the new rows touch are read.
+    pruned = tables.touched(spark.read.parquet(path), first.filter("YearQtr = 'r'"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [YearQtr" in pruned and "IN (r)" in pruned or "= r" in pruned
 
 
 def test_stream_in_bounded_batches(spark, tmp_path):
