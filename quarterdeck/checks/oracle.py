@@ -275,6 +275,13 @@ grid AS (SELECT *, CAST(concat(Year, '.', Quarter) AS DOUBLE) AS YearQuarter, co
 _ALL = text.StandardizeOptions(rm_num=True, rm_html=True)
 _KEPT = text.StandardizeOptions(rm_punct=False, to_upper=False, rm_html=True)
 
+DOC_LINK_TABLE = f"""WITH {ITEMS}, whole AS (SELECT HashIndex, CIK, YearQuarter, OrderKey,
+            '/Archives/data/' || OrderKey || '.txt' AS h FROM links),
+        hashed2 AS (SELECT *, {_digest("h || '-NA'")} AS d FROM whole)
+        SELECT {LINK_COLUMNS} FROM links
+        UNION ALL SELECT HashIndex, CIK, CIK || '-' || d, d, YearQuarter, -1, 'Complete submission text file',
+          OrderKey || '.txt', NULL, -1, 'https://www.sec.gov' || h FROM hashed2"""
+
 ORACLE: dict[str, str] = {
     "filings_scan": f"WITH {FILINGS} SELECT {INDEX_COLUMNS} FROM filings WHERE FormType = '1-URGENT' AND Quarter = 4",
     "read_filings": f"""WITH {FILINGS} SELECT {INDEX_COLUMNS} FROM filings
@@ -314,12 +321,14 @@ ORACLE: dict[str, str] = {
           CASE WHEN x IN ('html', 'htm', 'xml', 'xsd', 'txt') THEN 'text' ELSE 'raw' END AS ContentClass,
           contains(UrlDocument, 'ix?doc=') AS IsViewer, replace(UrlDocument, '/ix?doc=/', '/') AS UrlPlain,
           concat_ws('/', 'Original', {_label("YearQuarter")}, Document) AS PathOrig FROM e""",
-    "doc_link_table": f"""WITH {ITEMS}, whole AS (SELECT HashIndex, CIK, YearQuarter, OrderKey,
-            '/Archives/data/' || OrderKey || '.txt' AS h FROM links),
-        hashed2 AS (SELECT *, {_digest("h || '-NA'")} AS d FROM whole)
-        SELECT {LINK_COLUMNS} FROM links
-        UNION ALL SELECT HashIndex, CIK, CIK || '-' || d, d, YearQuarter, -1, 'Complete submission text file',
-          OrderKey || '.txt', NULL, -1, 'https://www.sec.gov' || h FROM hashed2""",
+    "doc_link_table": DOC_LINK_TABLE,
+    "links_job": f"""SELECT * FROM ({DOC_LINK_TABLE}) QUALIFY row_number() OVER (PARTITION BY DocID
+          ORDER BY Seq, UrlDocument, Description, Document, Type NULLS FIRST, Size) = 1""",
+    "index_job": f"""WITH {FILINGS} SELECT {INDEX_COLUMNS}, YearQtr FROM filings
+        WHERE Segment <> 'MACHINERY' AND Year <> 1995""",
+    "read_links": f"""WITH {_doc_types("")} SELECT {LINK_COLUMNS} FROM links WHERE YearQuarter >= 1997.1
+        AND HashIndex IN (SELECT HashIndex FROM filings WHERE FormType = '2-HIGH')
+        AND Type IN (SELECT DocTypeRaw FROM doc_types WHERE DocTypeMod = 'Type A')""",
     "clean_columns": """SELECT l_orderkey AS OrderKey, l_partkey AS PartKey,
           CASE WHEN l_linestatus = 'F' THEN l_linenumber ELSE -1 END AS Seq,
           CAST(CASE WHEN l_returnflag <> 'N' THEN l_quantity ELSE -1 END AS BIGINT) AS Size, l_returnflag AS Type,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import clean, html, ids, text, urls
 from ..operators import keys, ordered, quality, reshape, types
 from ..plans import documents, index, landing, links, lookups, periods
-from ..schemas import DOC_LINKS
+from ..operators.stages import staged
+from ..schemas import DOC_LINKS, RUN_LOG, WORK_QUEUE
 from ..session import shared_dir
 from ..sinks import tables
 from ..sources import datasets, files
@@ -40,9 +42,18 @@ def filings_scan(spark, sf):
 def read_filings(spark, sf):
     ciks = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     padded = ciks.select(ids.pad_cik(F.col("c_custkey").cast("string")).alias("CIK"))
-    return datasets.select_filings(
-        views.filings(spark, sf), from_=1996.2, to=1999.3, ciks=padded, form_types=["1-URGENT", "3-MEDIUM"]
-    )
+    path = shared_dir(spark, "filings")
+    views.filings(spark, sf).write.parquet(path)
+    return datasets.read_filings(spark, path, from_=1996.2, to=1999.3, ciks=padded, form_types=["1-URGENT", "3-MEDIUM"])
+
+
+@query
+def read_links(spark, sf):
+    path, index_path = shared_dir(spark, "links"), shared_dir(spark, "filings")
+    views.doc_links(spark, sf).write.parquet(path)
+    views.filings(spark, sf).write.parquet(index_path)
+    wanted = _doc_types(spark, sf).filter(F.col("DocTypeMod") == "Type A").select("DocTypeRaw")
+    return datasets.read_links(spark, path, index_path, ["2-HIGH"], from_=1997.1, doc_types=wanted)
 
 
 @query
@@ -101,8 +112,34 @@ def distinct_filings(spark, sf):
 
 @query
 def work_batches(spark, sf):
-    found = views.filings(spark, sf, ("Status",))
-    return links.work_queue(links.pending_filings(found, views.processed(found)))
+    found, path = views.filings(spark, sf, ("Status",)), shared_dir(spark, "queue")
+    links.write_queue(links.work_queue(links.pending_filings(found, views.processed(found))), path)
+    return spark.read.parquet(path).select(*WORK_QUEUE.fieldNames())
+
+
+@query
+def index_job(spark, sf):
+    raw, out = shared_dir(spark, "raw"), shared_dir(spark, "index")
+    lines = staged(views.index_lines(spark, sf), "lines")
+    # One file per quarter, as they are landed.
+    for row in lines.select("file").distinct().collect():
+        folder = "/".join(row.file.split("/")[-3:-1])
+        lines.filter(F.col("file") == row.file).select("value").coalesce(1).write.text(f"{raw}/{folder}")
+    # The second run finds all files handled.
+    for _ in range(2):
+        built = index.build_index(spark, raw, out, date(2002, 1, 1), from_=1995.0)
+    return built
+
+
+@query
+def links_job(spark, sf):
+    out = shared_dir(spark, "links-job")
+    pages = views.link_pages(spark, sf).select("HashIndex", "HTML")
+    responses = pages.withColumns({"Error": F.lit(None).cast("string"), "Status": F.lit(200)})
+    # The second run finds all pages processed.
+    for _ in range(2):
+        built = links.build_links(spark, views.filings(spark, sf), responses, out)
+    return built.select(*DOC_LINKS.fieldNames())
 
 
 # Links
@@ -220,8 +257,15 @@ def fill_down(spark, sf):
 # Documents
 
 
+def _saved_lookups(spark, sf, found):
+    """The lookups as jobs use them: built, saved, and read back."""
+    path = shared_dir(spark, "lookups")
+    lookups.build_type_lookups(views.filings(spark, sf), found, _form_lookup(spark), views.DOC_RULES).save(path)
+    return {name: spark.read.parquet(f"{path}/{name}") for name in lookups.SAVED}
+
+
 def _doc_types(spark, sf):
-    return types.classify_types(lookups.doc_type_counts(views.doc_links(spark, sf)), views.DOC_RULES).filter("nHit > 0")
+    return _saved_lookups(spark, sf, views.doc_links(spark, sf))["doc_types_raw"].filter("nHit > 0")
 
 
 @query
@@ -231,9 +275,10 @@ def docs_by_type(spark, sf):
 
 
 def _pending_documents(spark, sf):
-    found = documents.docs_by_type(views.doc_links(spark, sf, ()), _doc_types(spark, sf))
+    known = _doc_types(spark, sf)
+    found = documents.docs_by_type(views.doc_links(spark, sf, ()), known)
     done = found.filter(F.col("DocExt") == "xml").select("TypeSave", "YQSave", "DocID")
-    return documents.pending_documents(views.doc_links(spark, sf), _doc_types(spark, sf), done)
+    return documents.pending_documents(views.doc_links(spark, sf), known, done)
 
 
 @query
@@ -356,18 +401,17 @@ def unmapped_types(spark, sf):
 
 def _classified(spark, sf):
     found = views.doc_links(spark, sf, ("Discount",))
-    counts = lookups.doc_type_counts(found.withColumn("Error", (F.col("Discount") > 0.08).cast("int")))
-    return types.classify_types(counts, views.DOC_RULES)
+    return _saved_lookups(spark, sf, found.withColumn("Error", (F.col("Discount") > 0.08).cast("int")))
 
 
 @query
 def doc_type_classify(spark, sf):
-    return _classified(spark, sf)
+    return _classified(spark, sf)["doc_types_raw"]
 
 
 @query
 def doc_types_mod(spark, sf):
-    return types.roll_up(_classified(spark, sf), "DocClass", "DocTypeMod")
+    return _classified(spark, sf)["doc_types_mod"]
 
 
 # Merging, quality, logs
@@ -471,4 +515,6 @@ def run_log(spark, sf):
     urgent = found.filter((F.col("FormType") == "1-URGENT") & (F.col("Quarter") != 2))
     counted = quality.empty_outputs(grid, urgent, "YearQtrSave")
     last = found.groupBy("YearQtrSave").agg(F.max("DateFiled").cast("timestamp_ntz").alias("At"))
-    return index.quarter_log(counted.join(last, "YearQtrSave"), F.col("At"))
+    path = shared_dir(spark, "log")
+    tables.append_run_log(index.quarter_log(counted.join(last, "YearQtrSave"), F.col("At")), path)
+    return spark.read.schema(RUN_LOG).option("header", True).option("nullValue", "NA").csv(path)

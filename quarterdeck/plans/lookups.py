@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..operators.types import TypeRule, classify_types, count_types, form_types_raw, full_text_type, roll_up, unmapped
 
 
+SAVED = ("form_types_raw", "form_types_mod", "doc_types_raw", "doc_types_mod")
+
+
 @dataclass(frozen=True)
 class TypeLookups:
     form_types_raw: DataFrame
@@ -20,7 +23,7 @@ class TypeLookups:
     doc_types_mod: DataFrame
 
     def save(self, out_dir: str) -> None:
-        for name in ("form_types_raw", "form_types_mod", "doc_types_raw", "doc_types_mod"):
+        for name in SAVED:
             getattr(self, name).write.mode("overwrite").parquet(f"{out_dir}/{name}")
 
 

@@ -110,7 +110,7 @@ def test_anchors_in_every_form(spark):
     assert [(r.Seq, r.Href) for r in found.orderBy("Seq").collect()] == [(1, "/x"), (2, "/y"), (3, "/z?a=1&b=2")]
 
 
-def test_build_links_and_queue(spark, tmp_path):
+def test_build_links_and_queue(spark, tmp_path, monkeypatch):
     filings = spark.createDataFrame(
         [(f"h{i}", "c", "10-K", 2020.1, f"u{i}", "n") for i in range(25)],
         "HashIndex string, CIK string, FormType string, YearQuarter double, UrlIndexPage string, CompanyName string",
@@ -120,8 +120,19 @@ def test_build_links_and_queue(spark, tmp_path):
         "HashIndex string, HTML string, Error string, Status int",
     )
     out = str(tmp_path / "links")
+    cut, sizes, whole = [], [], links.cut_pages
+
+    def counted(pages, keys):
+        cut.append(pages.filter("Refused is null").count())
+        return whole(pages, keys)
+
+    monkeypatch.setattr(links, "cut_pages", counted)
     for _ in range(2):
         assert links.build_links(spark, filings, responses, out).count() == 2
+        sizes.append(spark.read.option("header", True).csv(out + "/Log").count())
+    # The second run reads no page that was processed, and reports nothing again.
+    assert cut == [3, 0] and sizes[0] == sizes[1] == 4
+    assert [tuple(r) for r in spark.read.parquet(out + "/Rejected").collect()] == [("h3", "Status Code (500)")]
     done = spark.read.parquet(out + "/Processed")
     assert {r.HashIndex for r in done.collect()} == {"h1", "h2"}
     assert {r.HashIndex for r in spark.read.parquet(out + "/Pages").collect()} == {"h1", "h2"}
@@ -169,7 +180,7 @@ def test_unknown_attributes_fill_down_by_name(spark):
     assert rows == {1: {"A": "1", "B": "2"}, 2: {"A": "1", "B": "2", "C": "3"}, 3: {"A": "4", "B": "2", "C": "3"}}
 
 
-def test_documents(spark, tmp_path):
+def test_documents(spark, tmp_path, monkeypatch):
     raw, out = tmp_path / "raw", str(tmp_path / "docs")
     write(raw / "Original" / "AB" / "2020-1" / "c-1.HTM", "<p>Grüße &amp; <b>mehr</b></p>")
     write(raw / "Original" / "AB" / "2020-1" / "c-2.txt", b"bad \xff byte")
@@ -192,6 +203,18 @@ def test_documents(spark, tmp_path):
     assert (built["c-4"].MsgParse, built["c-4"].ErrParse) == ("no text found", True)
     assert (built["c-1"].TypeSave, built["c-1"].YQSave) == ("AB", "2020-1")
     assert documents.pending_documents(table, types, spark.read.parquet(out + "/Parsed")).count() == 0
+    # With nothing pending no folder is read.
+    opened = []
+    monkeypatch.setattr(documents, "read_files", lambda s, dirs, **o: opened.append(dirs) or files.read_files(s, dirs, **o))
+    documents.build_documents(spark, table, types, str(raw), out)
+    assert opened == [str(raw)]
+
+
+def test_saved_types_join_without_a_shuffle(spark, tmp_path):
+    spark.createDataFrame([("T", "A / B", 1)], "DocTypeRaw string, DocTypeMod string, nHit int").write.parquet(str(tmp_path / "types"))
+    rows = spark.createDataFrame([(2020.1, "T", "d", "https://h/c.txt")], "YearQuarter double, Type string, DocID string, UrlDocument string")
+    plan = documents.docs_by_type(rows, spark.read.parquet(str(tmp_path / "types")))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_merge_keeps_existing(spark, tmp_path):
