@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -76,11 +77,21 @@ def test_bands_find_pairs_at_the_least_similarity():
         words = [b"%d" % rng.randrange(10**9) for _ in range(58)]
         other = words[:48] + [b"%d" % rng.randrange(10**9) for _ in range(6)]
         one, two = paragraphs.band_hashes([words[:54], other])
-        assert paragraphs.jaccard(*(b" ".join(w).decode() for w in (words[:54], other))) < 0.9
+        sets = [set(paragraphs.sketch(w)[0].tolist()) for w in (words[:54], other)]
+        assert 0.75 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) <= 0.81
         hits += bool((one == two).any())
     assert hits >= 0.97 * 300
 
 
+def test_sketches_never_differ_more_than_the_sets():
+    rng = random.Random(2)
+    for _ in range(200):
+        one = [b"%d" % rng.randrange(200) for _ in range(rng.randint(5, 400))]
+        two = [w if rng.random() < 0.9 else b"x%d" % rng.randrange(50) for w in one][: rng.randint(5, 400)]
+        (a, x), (b, y) = paragraphs.sketch(one), paragraphs.sketch(two)
+        assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_drop_repeats_cuts_all_but_the_earliest(spark):
     rows = repeats(5) + [(1000 + k if d is not None else None, t) for k, (d, t) in enumerate(AWKWARD)]
     docs = documents(spark, rows, clash=True).withColumn("n_chars", F.char_length("text").cast("long"))
