@@ -362,6 +362,7 @@ ORACLE: dict[str, str] = {
     "list_files": """WITH p AS (SELECT regexp_replace(url, '[?#].*$', '') AS path FROM pages)
         SELECT regexp_replace(regexp_extract(path, '([^/]*)$', 1), '\\.[^.]*$', '') AS doc_id, path
         FROM p WHERE regexp_matches(path, '\\.html?$')""",
+    "listed_files": "SELECT DISTINCT c_nationkey AS Nation, TRUE AS Listed FROM customer",
     "resolve_doc_types": f"""WITH {_doc_types("")},
         wanted AS (SELECT DISTINCT 'Type ' || l_returnflag AS m FROM lineitem UNION SELECT 'Type ' || l_linestatus FROM lineitem),
         known AS (SELECT DISTINCT DocTypeMod, DocTypeRaw FROM doc_types WHERE nHit > 0)

@@ -312,6 +312,16 @@ def list_files(spark, sf):
     return files.file_ids(paths, r"\.html?$")
 
 
+@query
+def listed_files(spark, sf):
+    """Files in folders, one folder per customer's nation, listed and counted without opening any."""
+    path = shared_dir(spark, "listed")
+    table(spark, sf, "customer").write.partitionBy("c_nationkey").option("maxRecordsPerFile", 20).parquet(path)
+    found = files.list_files(spark, path, r"^part-.*\.parquet$", recursive=True)
+    folder = F.regexp_extract("path", "c_nationkey=([0-9]+)/", 1).cast("int")
+    return found.filter(F.col("doc_id").startswith("part-")).groupBy(folder.alias("Nation")).agg((F.count(F.lit(1)) > 0).alias("Listed"))
+
+
 @query
 def resolve_doc_types(spark, sf):
     requested = table(spark, sf, "lineitem").select(
@@ -463,11 +473,11 @@ def incremental_stream(spark, sf):
     def to_filings(orders: DataFrame) -> DataFrame:
         return views.with_quarter(add_filing_ids(views.raw_filings(orders, customer)))
 
-    source = f"{sf}/orders.parquet*"
-    schema = table(spark, sf, "orders").schema
-    # The second run finds no new files.
+    # Several files in batches of two; the second run finds no new ones.
+    source, orders = shared_dir(spark, "landed"), table(spark, sf, "orders")
+    orders.repartition(6).write.parquet(source)
     for _ in range(2):
-        ingest(spark, source, schema, to_filings, target, checkpoint, ["HashIndex"], ["CIK"], files_per_batch=10)
+        ingest(spark, source, orders.schema, to_filings, target, checkpoint, ["HashIndex"], ["CIK"], files_per_batch=2)
     return spark.read.parquet(target)
 
 
@@ -497,15 +507,7 @@ def empty_outputs(spark, sf):
 
 @query
 def run_metrics(spark, sf):
-    found = views.doc_links(spark, sf)
-    return found.groupBy(ids.label_from_number(F.col("YearQuarter")).alias("YearQtrSave")).agg(
-        F.count(F.lit(1)).alias("nRows"),
-        F.count_distinct("HashIndex").alias("nFilings"),
-        F.sum("Size").alias("TotalSize"),
-        F.min("Size").alias("MinSize"),
-        F.max("Size").alias("MaxSize"),
-        F.min_by("DocID", F.struct("HashIndex", "DocID")).alias("FirstDoc"),
-    )
+    return links.link_metrics(views.doc_links(spark, sf))
 
 
 @query

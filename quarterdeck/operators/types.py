@@ -76,6 +76,10 @@ def classify_types(counts: DataFrame, rules: Sequence[TypeRule], column: str = "
     )
 
 
+# Fixed value: the message for unknown types.
+UNKNOWN = "Following Requested DocTypes do not exist: "
+
+
 class UnknownTypes(ValueError):
     """Requested document types the lookup does not hold."""
 
@@ -97,5 +101,5 @@ def require_doc_types(requested: DataFrame, lookup: DataFrame) -> DataFrame:
     matched, missing = resolve_doc_types(requested, lookup)
     row = missing.first()
     if row["nMissing"]:
-        raise UnknownTypes(f"Following Requested DocTypes do not exist: {row['Missing']}")
+        raise UnknownTypes(f"{UNKNOWN}{row['Missing']}")
     return matched

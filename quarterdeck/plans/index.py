@@ -19,6 +19,7 @@ from .periods import pending_periods, period_grid
 
 
 # Texts of the log.
+READ, NO_ROWS, ROWS = "Downloaded Year-Quarter: ", "Empty table", "Rows: "
 FOUND, NOTHING_NEW = "Start Reading Index Files: ", "No New Year-Quarters"
 
 
@@ -30,9 +31,9 @@ def quarter_log(rows_per_quarter: DataFrame, at) -> DataFrame:
         at,
         F.when(empty, F.lit("ERROR")).otherwise(F.lit("INFO")),
         F.when(empty, log_message(F.col("Reason"))).otherwise(
-            F.concat(F.lit("Downloaded Year-Quarter: "), F.col("YearQtrSave"))
+            F.concat(F.lit(READ), F.col("YearQtrSave"))
         ),
-        F.when(empty, F.lit("Empty table")).otherwise(F.concat(F.lit("Rows: "), F.col("nRows").cast("string"))),
+        F.when(empty, F.lit(NO_ROWS)).otherwise(F.concat(F.lit(ROWS), F.col("nRows").cast("string"))),
     )
 
 
