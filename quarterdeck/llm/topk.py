@@ -197,14 +197,15 @@ def top_products(embeddings: DataFrame, k: int = 5, bucket_rows: int = BUCKET_RO
     buckets = staged(vectors.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blobs(bucket_rows), _BLOB_SQL), "buckets")
     asked = vectors.where(F.col("vec_id") % QUERY_EVERY == 0).dropDuplicates(["vec_id"])
     asked = asked.repartition(max(1, -(-asked.count() // block_rows)))
-    blocks = staged(asked.mapInArrow(_blobs(block_rows), _BLOB_SQL), "query-blocks")
-
-    queries = blocks.select(F.col("number").alias("block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("width").alias("q_width"), F.col("longest").alias("q_longest"))
     top = buckets.orderBy(F.col("longest").desc(), "number").select("number", "longest").first()
     first_number, longest = (top.number, top.longest) if top else (-1, 0.0)
+    # Each block names the bucket it asks first as a stored value, so that the join stays one on equal keys.
+    blocks = staged(asked.mapInArrow(_blobs(block_rows), _BLOB_SQL).withColumn("seed", F.lit(first_number)), "query-blocks")
+    queries = blocks.select(F.col("number").alias("block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("width").alias("q_width"), F.col("longest").alias("q_longest"))
 
     # First pass: the bucket of the longest vectors, which shows what score a query has at least.
-    seeds = queries.withColumn("number", F.lit(first_number)).join(buckets.where(F.col("number") == first_number), "number")
+    asking = blocks.select(F.col("number").alias("block"), F.col("seed").alias("number"))
+    seeds = queries.join(asking, "block").join(buckets.select("number", "ids", "data", "width"), "number")
     first = staged(seeds.withColumn("floors", F.lit(None).cast("array<struct<query_id:long,floor:double>>")).select(*_PAIR).mapInArrow(_search(k), _HITS), "first-hits")
     kth = first.groupBy("block", "query_id").agg(F.count(F.lit(1)).alias("hits"), F.min("score").cast("double").alias("floor"))
     # One array element per query of a block, of which there are block_rows at most.
