@@ -102,6 +102,12 @@ def test_links(spark):
     spans = "<div id=formDiv><table><tr><th colspan=2>Seq<th>Document<th>Type<th>Size<tr><td COLSPAN='2'>3<td>d<td>t<td>4</table></div>"
     wide = links.extract_links(spark.createDataFrame([("h", "c", 2020.1, spans)], pages.schema)).first()
     assert (wide.Seq, wide.Document, wide.Type, wide.Size) == (3, "d", "t", 4)
+    tall = (
+        "<div id=formDiv><table><tr><th>Seq<th>Document<th>Type<th>Size<tr><td>1<td rowspan=2 colspan='1'>d<td>t<td>4"
+        "<tr><td>2<td>u<td>5<tr><td>3<td>e<td rowspan='0'>v<td>6<tr><td>4<td>f<td>7</table></div>"
+    )
+    rows = links.extract_links(spark.createDataFrame([("h", "c", 2020.1, tall)], pages.schema)).orderBy("Seq").collect()
+    assert [(r.Seq, r.Document, r.Type, r.Size) for r in rows] == [(1, "d", "t", 4), (2, "d", "u", 5), (3, "e", "v", 6), (4, "f", "v", 7)]
 
 
 def test_anchors_in_every_form(spark):
