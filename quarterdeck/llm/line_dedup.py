@@ -1,15 +1,16 @@
 """Line dedup by a join on deletion neighbourhoods, in DataFrame functions only.
 
-Lines within one edit share a variant: the line itself or the line less one character. Emitting every variant of
-every line would multiply the corpus by its line length, so lines are first narrowed: within one edit, the first or the
-last half is the same, hence a line whose halves occur in no other line has no near copy. Only the rest, the crowded
-lines, emit variants, as (place of the deletion, hash):
+Strings within one edit share a variant: the string itself or the string less one character. Emitting every variant of
+every line would multiply the corpus by its line length, so lines are narrowed twice. Within one edit, the first or the
+last half of two lines is the same, hence a line whose halves occur in no other line has no near copy. The rest, the
+crowded lines, are cut around each of ``SEGMENTS`` stretches, in one of which the edit must be; where another line has the
+same surroundings, the variants of the stretch are emitted as (surroundings, place of the deletion, hash):
 
-* two lines with the same place and hash differ by a substitution, so the earliest line of such a group is
-  a neighbour of all others and no pairs inside the group are needed;
-* a line less one character that equals another whole line differs by an insertion.
+* two lines with the same surroundings, place and hash differ by a substitution, so the earliest line of such a group
+  is a neighbour of all others and no pairs inside the group are needed;
+* a stretch less one character that equals another whole stretch differs by an insertion.
 
-Every link that comes of it is verified by its edit distance on the lines themselves.
+Every link that comes of it is verified by its edit distance on the whole lines.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from quarterdeck.llm.common import staged
 from quarterdeck.operators.stages import compute_once
 
 MIN_CHARS = 20
+SEGMENTS = 16
+_FILTER_WORDS = 1 << 17  # 64 bits each, that tell which lines may be crowded
 BLANKS = " \t\r\x0b\x0c"
 _WIDE = "decimal(38,0)"
 
@@ -70,19 +73,62 @@ def _crowded(lines: DataFrame) -> DataFrame:
     return halves.join(shared, "half").select("short").distinct()
 
 
+def _crowded_lines(docs: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``(first, line, line_key)`` of the lines in ``crowded(short)``, one row each.
+
+    A table of ``_FILTER_WORDS`` rows at most, whatever the corpus, keeps most other lines from being shuffled with their
+    texts; the join decides.
+    """
+    word, bit = F.pmod(F.shiftright("short", 6), F.lit(_FILTER_WORDS)).alias("word"), F.expr("shiftleft(1L, cast(short & 63 AS int))")
+    words = crowded.groupBy(word).agg(F.bit_or(bit).alias("bits"))
+    lines = lines_of(docs).withColumn("short", F.xxhash64("line")).withColumn("word", word)
+    maybe = lines.join(F.broadcast(words), "word").where(F.col("bits").bitwiseAND(bit) != 0)
+    own = maybe.join(crowded, "short", "left_semi").groupBy("line").agg(F.min(_place(F.col("doc_id"), F.col("line_no"))).alias("first"))
+    return own.select("first", "line", F.unhex(F.md5("line")).alias("line_key"))
+
+
+def _segments() -> Column:
+    """For each place an edit may be in: a hash of the line around it, and the characters there.
+
+    With ``n`` the length of the shorter line of a pair, the places are ``SEGMENTS`` stretches of n characters; in
+    the longer line the stretch has one more. A line takes part as the shorter and as the longer one.
+    """
+    n = F.char_length("line")
+
+    def pieces(shorter: Column) -> Column:
+        def piece(j: Column) -> Column:
+            before = F.floor(j * shorter / SEGMENTS).cast("int")
+            behind = shorter - F.floor((j + 1) * shorter / SEGMENTS).cast("int")
+            around = F.xxhash64(shorter, j, F.substring(F.col("line"), F.lit(1), before), F.substring(F.col("line"), n - behind + 1, behind))
+            return F.struct(around.alias("around"), F.substring(F.col("line"), before + 1, n - before - behind).alias("inside"))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), piece)
+
+    return F.concat(pieces(n), pieces(n - 1))
+
+
 def _links(crowded: DataFrame) -> DataFrame:
     """Verified ``(line_key, earlier)``: a line, and the place of an earlier line within one edit of it."""
-    line, n = F.col("line"), F.char_length("line")
-    cut = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.struct(i.alias("at"), F.xxhash64(F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, n))).alias("hash")),
+    pieces = crowded.select("first", F.explode(_segments()).alias("s")).select("first", "s.around", "s.inside")
+    shared = pieces.groupBy("around").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low <> high")
+    close = staged(pieces.join(shared.select("around"), "around"), "close-lines")
+
+    # The deletion neighbourhood of the stretch: itself (at 0), and itself less the character at each place.
+    inside, n = F.col("inside"), F.char_length("inside")
+    less = F.transform(
+        F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")),
+        lambda at: F.struct(at.alias("at"), F.xxhash64(F.concat(F.substring(inside, F.lit(1), at - 1), F.substring(inside, at + 1, n))).alias("hash")),
+    )
+    whole = F.struct(F.lit(0).alias("at"), F.xxhash64(inside).alias("hash"))
+    variants = close.select("first", "around", F.explode(F.concat(F.array(whole), less)).alias("v")).select("first", "around", "v.at", "v.hash")
+    variants = staged(variants, "line-variants")
+    lowest = variants.where("at > 0").groupBy("around", "at", "hash").agg(F.min("first").alias("other"))
+    swapped = variants.join(lowest, ["around", "at", "hash"]).where("other < first").select("first", "other")
+    grown = variants.where("at > 0").select("first", "around", "hash").join(
+        variants.where("at = 0").select(F.col("first").alias("other"), "around", "hash"), ["around", "hash"]
     )
-    variants = crowded.select("first", F.explode(cut).alias("v")).select("first", "v.at", "v.hash")
-    lowest = variants.groupBy("at", "hash").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low <> high")
-    swapped = variants.join(lowest.select("at", "hash", "low"), ["at", "hash"]).where("low < first").select("first", F.col("low").alias("other"))
-    whole = crowded.select(F.col("first").alias("other"), F.xxhash64("line").alias("hash"))
-    grown = variants.select("first", "hash").join(whole, "hash").select("first", "other").where("first <> other")
-    pairs = swapped.unionByName(grown).select(F.greatest("first", "other").alias("first"), F.least("first", "other").alias("earlier")).distinct()
+    pairs = swapped.unionByName(grown.where("first <> other").select("first", "other"))
+    pairs = pairs.select(F.greatest("first", "other").alias("first"), F.least("first", "other").alias("earlier")).distinct()
 
     later = crowded.select("first", "line_key", "line")
     before = crowded.select(F.col("first").alias("earlier"), F.col("line").alias("earlier_line"))
@@ -109,10 +155,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     distinct = staged(packed.select("line_key", "first", "short", halves.alias("halves")), "lines")
 
     hot = staged(_crowded(distinct), "crowded")
-    texts = lines_of(docs).withColumn("short", F.xxhash64("line")).join(hot, "short", "left_semi")
-    texts = texts.groupBy("line").agg(F.min(_place(F.col("doc_id"), F.col("line_no"))).alias("first"))
-    crowded = staged(texts.select("first", "line", F.unhex(F.md5("line")).alias("line_key")), "crowded-lines")
-
+    crowded = staged(_crowded_lines(docs, hot), "crowded-lines")
     near = staged(_links(crowded), "near-lines")
     keep = distinct.select("line_key", "first").join(near, "line_key", "left")
     keep = staged(keep.select("line_key", F.least("first", "earlier").alias("keep")), "kept-lines")
