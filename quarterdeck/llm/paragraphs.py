@@ -2,7 +2,7 @@
 
 Two kinds of passages are compared across all documents:
 
-* paragraphs (lines), by min-hashes of their five-word shingles. ``BANDS`` bands of ``ROWS`` hashes are tuned so that a
+* paragraphs (lines), by min-hashes of their five-word shingles (64-bit hashes stand for these). ``BANDS`` bands of ``ROWS`` hashes are tuned so that a
   pair at the least similarity shares a band with 0.997 probability; pairs that share one are verified by their exact
   Jaccard similarity;
 * sentences, because a passage that was put into other text shares no paragraph, but its sentences. These are too
@@ -10,9 +10,9 @@ Two kinds of passages are compared across all documents:
 
 Equal passages are one row from the start, however many copies there are. Links between different paragraphs are
 found in rounds: first each paragraph of a band is verified against one leader, and components are formed; then pairs of a
-band whose sides are in different components. Pairs inside a component need no check, so a band full of variants of one
-text costs its length, not its square, and no link that would join two components is lost. Every member of a component
-but the earliest goes.
+band whose sides are in different components. Pairs inside a component need no check, and sketches of the sets rule out
+most others within the join, so no link that would join two components is lost and the pairs that leave the join are
+about as many as the links. Every member of a component but the earliest goes.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ SIMILARITY = 0.8
 MIN_WORDS = 10  # shorter paragraphs and sentences are no passages
 BANDS, ROWS = 8, 3
 PARAGRAPH, SENTENCE = 0, 1
+SKETCH_BITS = 256
+_SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
 _BITMAP_BITS = 1 << 23  # one megabyte that tells tasks which paragraphs to read again
 _BITMAP_PARTS = 8
 _PRIME_BITS = np.uint64(0x9E3779B97F4A7C15)
@@ -146,56 +148,66 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
 
-def _texts(bitmap: bytes):
+def sketch(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a paragraph's shingles, each once, and their parity bits.
+
+    Each hash flips one of ``SKETCH_BITS`` bits, so two sketches differ in no more bits than the sets do in members.
+    """
+    hashes = np.unique(np.array([xxhash.xxh64_intdigest(s) for s in _shingles(words)], dtype=np.uint64))
+    odd = np.bincount((hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return hashes.view(np.int64), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _sketched(bitmap: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8))
         for batch in batches:
-            codes, texts = [], []
+            codes, sets, sketches = [], [], []
             for text in batch.column(0):
                 for level, _, _, words in passages(text.as_py() or ""):
                     if level == PARAGRAPH:
                         code = _code(_key(words))
                         if bits[_bit(code)]:
+                            hashes, parity = sketch(words)
                             codes.append(code)
-                            texts.append(b" ".join(words).decode())
-            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(texts, pa.string())], names=["code", "words"])
+                            sets.append(hashes)
+                            sketches.append(parity)
+            columns = [pa.array(codes, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(list(map(len, sets)), pa.int32())]
+            columns += [pa.array([s[k] for s in sketches], pa.int64()) for k in range(len(_SKETCH))]
+            yield pa.RecordBatch.from_arrays(columns, names=["code", "shingles", "n", *_SKETCH])
 
     return run
 
 
-def paragraph_texts(docs: DataFrame, codes: DataFrame) -> DataFrame:
-    """``(code, words)`` of the paragraphs in ``codes(code)``, one row each.
+def paragraph_sets(docs: DataFrame, codes: DataFrame) -> DataFrame:
+    """``(code, shingles, n, sketch0, ...)`` of the paragraphs in ``codes(code)``, one row each.
 
-    A bitmap of fixed size first keeps most other paragraphs from being shuffled; the join decides.
+    A bitmap of fixed size first keeps most other paragraphs from being hashed and shuffled; the join decides.
     """
     parts = codes.coalesce(_BITMAP_PARTS).mapInArrow(_mark, "bits binary").collect()
     bitmap = np.zeros(_BITMAP_BITS // 8, dtype=np.uint8)
     for row in parts:
         bitmap |= np.frombuffer(row.bits, dtype=np.uint8)
-    found = _narrow(docs).select("text").mapInArrow(_texts(bitmap.tobytes()), "code long, words string")
+    schema = "code long, shingles array<long>, n int, " + ", ".join(f"{c} long" for c in _SKETCH)
+    found = _narrow(docs).select("text").mapInArrow(_sketched(bitmap.tobytes()), schema)
     return found.dropDuplicates(["code"]).join(codes, "code", "left_semi")
 
 
-def jaccard(a: str, b: str) -> float:
-    """Similarity of the sets of shingles of two paragraphs, given as words with blanks between."""
-    one, other = (set(_shingles(x.encode().split(b" "))) for x in (a, b))
-    return len(one & other) / len(one | other)
+def _sides(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(sketches.select(*[F.col(c).alias(f"{side}_{c}") for c in sketches.columns]) for side in "ab")
 
 
-def _verify(similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            close = [jaccard(x.as_py(), y.as_py()) >= similarity for x, y in zip(batch.column(2), batch.column(3))]
-            yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
-
-    return run
+def _may_link(similarity: float) -> Column:
+    """Whether two sketches leave the similarity possible: sets of it differ in a bounded share of their members."""
+    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in _SKETCH), F.lit(0))
+    return differ <= (1 - similarity) / (1 + similarity) * (F.col("a_n") + F.col("b_n")) + 1e-9
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    left = texts.select(F.col("code").alias("a"), F.col("words").alias("x"))
-    right = texts.select(F.col("code").alias("b"), F.col("words").alias("y"))
-    both = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(_verify(similarity), "a long, b long")
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets of shingles are similar enough."""
+    left, right = sets.select(F.col("code").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("code").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.distinct().join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+    return both.where(F.col("common") / (F.size("x") + F.size("y") - F.col("common")) >= similarity).select("a", "b")
 
 
 def linked_paragraphs(docs: DataFrame, distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -203,19 +215,23 @@ def linked_paragraphs(docs: DataFrame, distinct: DataFrame, similarity: float =
     banded = distinct.select("code", F.posexplode(F.array(*_BAND_NAMES)).alias("band", "hash"))
     shared = banded.groupBy("band", "hash").agg(F.min("code").alias("leader"), F.max("code").alias("last")).where("leader <> last")
     members = staged(banded.join(shared.select("band", "hash", "leader"), ["band", "hash"]), "band-members")
-    texts = staged(paragraph_texts(docs, members.select("code").distinct()), "band-texts")
+    sets = staged(paragraph_sets(docs, members.select("code").distinct()), "band-sets")
+    a, b = _sides(sets.select("code", "n", *_SKETCH))
 
-    led = members.where("code <> leader").select(F.col("leader").alias("a"), F.col("code").alias("b"))
-    links = staged(_verified(led, texts, similarity), "led-links")
+    led = members.where("code <> leader").select(F.col("leader").alias("a_code"), F.col("code").alias("b_code")).distinct()
+    led = led.join(a, "a_code").join(b, "b_code").where(_may_link(similarity)).select(F.col("a_code").alias("a"), F.col("b_code").alias("b"))
+    links = staged(_verified(led, sets, similarity), "led-links")
     roots = components(links).withColumnRenamed("node", "code")
     rooted = members.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
     # What is left: pairs of a band in different components, so only bands with several.
     split = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    mixed = staged(rooted.join(split.select("band", "hash"), ["band", "hash"]).select("band", "hash", "code", "root", "leader"), "mixed-bands")
-    a = mixed.select("band", "hash", F.col("code").alias("a"), F.col("root").alias("ra"), "leader")
-    b = mixed.select("band", "hash", F.col("code").alias("b"), F.col("root").alias("rb"))
-    across = a.join(b, ["band", "hash"]).where("a < b and ra <> rb and a <> leader").select("a", "b")
-    more = staged(_verified(across, texts, similarity), "more-links")
+    mixed = rooted.join(split.select("band", "hash"), ["band", "hash"]).join(sets.select("code", "n", *_SKETCH), "code")
+    mixed = staged(mixed.select("code", "root", "band", "hash", "leader", "n", *_SKETCH), "mixed-bands")
+    a, b = _sides(mixed)
+    same = (F.col("a_band") == F.col("b_band")) & (F.col("a_hash") == F.col("b_hash"))
+    new = (F.col("a_code") < F.col("b_code")) & (F.col("a_root") != F.col("b_root")) & (F.col("a_code") != F.col("a_leader"))
+    across = a.join(b, same & new & _may_link(similarity)).select(F.col("a_code").alias("a"), F.col("b_code").alias("b"))
+    more = staged(_verified(across, sets, similarity), "more-links")
     return components(links.unionByName(more))
 
 
