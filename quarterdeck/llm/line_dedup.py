@@ -77,13 +77,13 @@ def _crowded_lines(docs: DataFrame, crowded: DataFrame) -> DataFrame:
     """``(first, line, line_key)`` of the lines in ``crowded(short)``, one row each.
 
     A table of ``_FILTER_WORDS`` rows at most, whatever the corpus, keeps most other lines from being shuffled with their
-    texts; the join decides.
+    texts; the join decides. It is an inner join on distinct keys, since Spark would push a semi join below the filter.
     """
     word, bit = F.pmod(F.shiftright("short", 6), F.lit(_FILTER_WORDS)).alias("word"), F.expr("shiftleft(1L, cast(short & 63 AS int))")
     words = crowded.groupBy(word).agg(F.bit_or(bit).alias("bits"))
     lines = lines_of(docs).withColumn("short", F.xxhash64("line")).withColumn("word", word)
     maybe = lines.join(F.broadcast(words), "word").where(F.col("bits").bitwiseAND(bit) != 0)
-    own = maybe.join(crowded, "short", "left_semi").groupBy("line").agg(F.min(_place(F.col("doc_id"), F.col("line_no"))).alias("first"))
+    own = maybe.join(crowded, "short").groupBy("line").agg(F.min(_place(F.col("doc_id"), F.col("line_no"))).alias("first"))
     return own.select("first", "line", F.unhex(F.md5("line")).alias("line_key"))
 
 
