@@ -19,7 +19,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         base = tempfile.mkdtemp(prefix="llm-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
