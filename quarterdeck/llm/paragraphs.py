@@ -226,11 +226,14 @@ def linked_paragraphs(docs: DataFrame, distinct: DataFrame, similarity: float =
     # What is left: pairs of a band in different components, so only bands with several.
     split = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     mixed = rooted.join(split.select("band", "hash"), ["band", "hash"]).join(sets.select("code", "n", *_SKETCH), "code")
-    mixed = staged(mixed.select("code", "root", "band", "hash", "leader", "n", *_SKETCH), "mixed-bands")
+    mixed = mixed.join(distinct, "code")
+    mixed = staged(mixed.select("code", "root", "band", "hash", "leader", "n", *_SKETCH, *_BAND_NAMES), "mixed-bands")
     a, b = _sides(mixed)
     same = (F.col("a_band") == F.col("b_band")) & (F.col("a_hash") == F.col("b_hash"))
     new = (F.col("a_code") < F.col("b_code")) & (F.col("a_root") != F.col("b_root")) & (F.col("a_code") != F.col("a_leader"))
-    across = a.join(b, same & new & _may_link(similarity)).select(F.col("a_code").alias("a"), F.col("b_code").alias("b"))
+    # A pair comes out of the first band that it shares, not of each.
+    first = F.coalesce(*[F.when(F.col(f"a_{n}") == F.col(f"b_{n}"), F.lit(k)) for k, n in enumerate(_BAND_NAMES)])
+    across = a.join(b, same & new & (first == F.col("a_band")) & _may_link(similarity)).select(F.col("a_code").alias("a"), F.col("b_code").alias("b"))
     more = staged(_verified(across, sets, similarity), "more-links")
     return components(links.unionByName(more))
 
