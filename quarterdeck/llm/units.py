@@ -15,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_BYTES = 32 << 20  # of unit text; beyond it the cache starts anew
+CACHE_BYTES = 12 << 20  # of unit text with its offsets; beyond it what was met once is forgotten
 _JOINED = 2000  # units handed over in one text
-_SLICE_BYTES = 4 << 20  # of text whose ids are put together at once
+_SLICE_BYTES = 8 << 20  # of text handled at once
 _MARK = "\x1f"
 #: Letters in every version of Unicode, so that all regex engines agree on them, that stay one letter in lower case.
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -58,13 +58,23 @@ class UnitEncoder:
         self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.separator, self.separator_id = next(iter(self.specials.items()))
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self._forget()
-
-    def _forget(self) -> None:
         self.units = pa.array([], pa.large_string())
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.lengths, self.met_again = np.zeros(0, np.int64), np.zeros(0, bool)
         self.store = np.zeros(0, self.dtype)
 
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.lengths) - self.lengths
+
+    def _forget(self) -> None:
+        """Drop the units that weren't met again since they came in or were last kept: most of them occur once."""
+        kept = self.met_again
+        self.store = gather(self.store, self.starts[kept], self.lengths[kept])
+        self.units, self.lengths = self.units.filter(pa.array(kept)), self.lengths[kept]
+        self.met_again = np.zeros(len(self.lengths), bool)
+        if self.units.nbytes > CACHE_BYTES // 2:
+            self.units, self.lengths, self.met_again, self.store = self.units[:0], self.lengths[:0], self.met_again[:0], self.store[:0]
+
     def _cut(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         """``texts`` with marks between the units, and which texts have to be encoded whole."""
         whole = pc.match_substring(texts, "<|")
@@ -97,47 +107,46 @@ class UnitEncoder:
 
     def _remember(self, units: pa.Array) -> None:
         ids, lengths = self._encode_units(units.to_pylist())
-        self.starts = np.concatenate([self.starts, len(self.store) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
+        self.met_again = np.concatenate([self.met_again, np.zeros(len(lengths), bool)])
         self.store = np.concatenate([self.store, ids])
         self.units = pa.concat_arrays([self.units, units])
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Slices of the batch: index of the first text, all ids, and the end of each text's ids. Null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        slices = np.cumsum(pc.binary_length(texts).to_numpy()) // _SLICE_BYTES
+        firsts = np.flatnonzero(np.diff(slices, prepend=-1)).tolist()
+        for first, last in zip(firsts, [*firsts[1:], len(texts)]):
+            yield first, *self._encode_slice(texts.slice(first, last - first))
+        pa.default_memory_pool().release_unused()
+
+    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         cut, whole = self._cut(texts)
         pieces = pc.split_pattern(cut, _MARK)
-        bounds = pieces.offsets.to_numpy().astype(np.int64)
         coded = pieces.values.dictionary_encode()
         units = coded.dictionary.cast(pa.large_string())
         if self.units.nbytes > CACHE_BYTES:
             self._forget()
         known = pc.index_in(units, value_set=self.units)
-        missing = units.filter(known.is_null())
-        if len(missing):
-            base = len(self.units)
-            self._remember(missing)
-            numbers = known.to_numpy(zero_copy_only=False).astype(np.float64)
-            numbers[np.isnan(numbers)] = base + np.arange(len(missing))
-            numbers = numbers.astype(np.int64)
-        else:
-            numbers = known.to_numpy(zero_copy_only=False).astype(np.int64)
-        codes = coded.indices.to_numpy()
-        starts, lengths, store = self.starts[numbers], self.lengths[numbers], self.store
-
-        odd = set(np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist())
-        size = np.diff(texts.offsets.to_numpy()) if hasattr(texts, "offsets") else pc.binary_length(texts).to_numpy()
-        slices = np.cumsum(size) // _SLICE_BYTES
-        firsts = np.flatnonzero(np.diff(slices, prepend=-1)) if len(slices) else []
-        for first, last in zip(firsts, [*firsts[1:], len(texts)]):
-            part = codes[bounds[first] : bounds[last]]
-            ids = gather(store, starts[part], lengths[part])
-            ends = np.concatenate([[0], np.cumsum(lengths[part])])[bounds[first + 1 : last + 1] - bounds[first]]
-            if any(k in odd for k in range(first, last)):
-                each = np.split(ids, ends[:-1])
-                each = [self._encode_whole(texts[first + k].as_py()) if first + k in odd else x for k, x in enumerate(each)]
-                ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
-            yield int(first), ids, ends
+        missing = known.is_null()
+        numbers = pc.fill_null(known, -1).to_numpy().astype(np.int64)
+        self.met_again[numbers[numbers >= 0]] = True
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = len(self.units) + np.arange(len(new))
+            self._remember(units.filter(missing))
+        numbers = numbers[coded.indices.to_numpy()]
+        lengths = self.lengths[numbers]
+        ids = gather(self.store, self.starts[numbers], lengths)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[pieces.offsets.to_numpy()[1:]]
+        odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist()
+        if odd:
+            each = np.split(ids, ends[:-1])
+            for k in odd:
+                each[k] = self._encode_whole(texts[k].as_py())
+            ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+        return ids, ends
 
 
 _ENCODERS: dict[tuple, UnitEncoder] = {}
