@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm.units import gather
 
-MAX_TOXIC, MAX_CLEAN = 2000, 4000  # labelled rows that training may take, whole texts
+MAX_TOXIC, MAX_CLEAN = 1500, 2500  # labelled rows that training may take, whole texts
 ROWS, WIDTH, FILTERS, WIDTHS = 1 << 15, 16, 8, (1, 2, 3)
 FOLDS = 5  # one of which, remainder 0, is held out
 STEMS = (4, 5)  # letters of a word's beginning that have rows of their own
@@ -76,7 +76,7 @@ def words_of(texts: pa.Array) -> Words:
     for letters in STEMS:
         stems = pc.utf8_slice_codeunits(words, 0, letters).dictionary_encode()
         rows.append(_hashes(stems.dictionary, b"%d" % letters)[stems.indices.to_numpy()])
-    return Words(codes, counts, np.stack(rows, axis=1))
+    return Words(codes.astype(np.int32), counts, np.stack(rows, axis=1).astype(np.int32))
 
 
 @dataclass
@@ -167,6 +167,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS) -> Model:
         for start in range(0, len(order), BATCH):
             pick = order[start : start + BATCH]
             _learn(model, adagrad, words.of(pick), toxic[pick], weight[pick])
+    pa.default_memory_pool().release_unused()
     return model
 
 
@@ -257,7 +258,9 @@ def _score(model: Model):
             firsts = np.flatnonzero(np.diff(size // _SLICE_BYTES, prepend=-1)).tolist()
             for first, last in zip(firsts, [*firsts[1:], len(texts)]):
                 scores = model.scores(words_of(texts.slice(first, last - first)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(scores)], names=["doc_id", "lang", "score"])
+                columns = [batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(scores)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "score"])
+            pa.default_memory_pool().release_unused()
 
     return run
 
