@@ -12,7 +12,8 @@ Equal passages are one row from the start, however many copies there are. Links
 found in rounds: first each paragraph of a band is verified against one leader, and components are formed; then pairs of a
 band whose sides are in different components. Pairs inside a component need no check, and sketches of the sets rule out
 most others within the join, so no link that would join two components is lost and the pairs that leave the join are
-about as many as the links. Every member of a component but the earliest goes.
+about as many as the links. Every member of a component but the earliest goes; a sentence inside a paragraph that goes
+is never the one that stays, so that no text loses its last copy.
 """
 
 from __future__ import annotations
@@ -41,9 +42,9 @@ _BITMAP_PARTS = 8
 _PRIME_BITS = np.uint64(0x9E3779B97F4A7C15)
 _SENTENCE_END = re.compile(r"(?<=[.!?])[ \t]+")
 _BAND_NAMES = [f"band{k}" for k in range(BANDS)]
-_PASSAGE = "doc_id long, level int, start int, stop int, key binary, code long, " + ", ".join(f"{n} long" for n in _BAND_NAMES)
+_PASSAGE = "doc_id long, level int, start int, stop int, line_start int, key binary, code long, " + ", ".join(f"{n} long" for n in _BAND_NAMES)
 _SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("level", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("key", pa.binary()), ("code", pa.int64())]
+    [("doc_id", pa.int64()), ("level", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("line_start", pa.int32()), ("key", pa.binary()), ("code", pa.int64())]
     + [(n, pa.int64()) for n in _BAND_NAMES]
 )
 
@@ -122,9 +123,10 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             for level, start, stop, own in passages(text.as_py() or ""):
                 key = _key(own)
-                rows.append((doc_id, level, start, stop, key, _code(key)))
                 if level == PARAGRAPH:
+                    line_start = start
                     words.append(own)
+                rows.append((doc_id, level, start, stop, line_start, key, _code(key)))
             if len(rows) >= 20_000:
                 yield flush(rows, words)
                 rows, words = [], []
@@ -262,24 +264,49 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     roots = staged(linked_paragraphs(docs, distinct, similarity), "paragraph-roots")
 
     everyone = roots.select(F.col("node").alias("code"), "root").unionByName(roots.select(F.col("root").alias("code"), "root").distinct())
-    linked = keys.where(F.col("level") == PARAGRAPH).join(everyone, "code")
-    earliest = linked.groupBy("root").agg(F.min("first").alias("keep"))
-    near = linked.join(earliest, "root").select("key", "keep")
-    equal = keys.where("n > 1").select("key", F.col("first").alias("keep"))
-    keep = staged(near.unionByName(equal).groupBy("key").agg(F.min("keep").alias("keep")), "kept-passages")
+    linked = keys.where(F.col("level") == PARAGRAPH).join(everyone, "code").select("key", "level", F.col("root").alias("group"))
+    equal = keys.where("n > 1").select("key", "level", F.col("code").alias("group"))
+    # A key that is linked goes by its root, others by their own code.
+    groups = linked.unionByName(equal.join(linked.select("key"), "key", "left_anti")).withColumnRenamed("level", "group_level")
+    names = found.select("doc_id", "level", "start", "stop", "key", place.alias("place"), _place(F.col("doc_id"), F.col("line_start")).alias("line"))
+    rows = staged(names.join(groups, "key").drop("key"), "repeated-passages")
+    keep = staged(_keepers(rows), "kept-passages")
 
     base = F.lit(2**31).cast("decimal(11,0)")
     doc = F.floor(F.col("keep") / base).cast("decimal(20,0)")
-    return found.select("doc_id", "level", "start", "stop", "key").join(keep, "key").select(
+    return rows.join(keep, "group").select(
         "doc_id",
         F.when(F.col("level") == PARAGRAPH, "paragraph").otherwise("sentence").alias("level"),
         "start",
         "stop",
         F.concat_ws(":", doc.cast("long").cast("string"), (F.col("keep") - doc * base).cast("int").cast("string")).alias("component_id"),
-        (place == F.col("keep")).alias("kept"),
+        (F.col("stays") & (F.col("place") == F.col("keep"))).alias("kept"),
     )
 
 
+def _keepers(rows: DataFrame) -> DataFrame:
+    """``(group, keep, stays)``: the earliest place of each group that lies in no paragraph that goes.
+
+    Groups with paragraphs come first. A sentence may stand for such a group only if the paragraph around it is sure to
+    stay, as the earliest place of its own group. Groups of sentences alone then choose among what is left; if all
+    their places lie in paragraphs that go, ``stays`` is false, and ``keep`` is the earliest place.
+    """
+    mixed = rows.where(F.col("group_level") == PARAGRAPH)
+
+    def gone(keep: DataFrame) -> DataFrame:
+        lines = rows.where(F.col("level") == PARAGRAPH).join(keep.select("group", "keep"), "group")
+        return lines.where("place <> keep").select("line", F.lit(True).alias("gone")).distinct()
+
+    def best(own: DataFrame, keep: DataFrame) -> DataFrame:
+        safe = (F.col("level") == PARAGRAPH) | F.col("gone").isNull()
+        valid = own.join(gone(keep), "line", "left").groupBy("group").agg(F.min(F.when(safe, F.col("place"))).alias("valid"), F.min("place").alias("lowest"))
+        return valid.select("group", F.coalesce("valid", "lowest").alias("keep"), F.col("valid").isNotNull().alias("stays"))
+
+    lowest = mixed.groupBy("group").agg(F.min("place").alias("keep"))
+    decided = staged(best(mixed, lowest), "kept-paragraphs")
+    return decided.unionByName(best(rows.where(F.col("group_level") == SENTENCE), decided))
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []

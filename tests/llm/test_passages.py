@@ -63,6 +63,20 @@ def test_chains_join_through_members_that_miss_the_leader(spark):
     assert tuples(found, *COLUMNS) == brute(rows)
 
 
+def test_a_sentence_is_not_kept_inside_a_paragraph_that_goes(spark):
+    """P' (doc 5) goes as a near copy of P (doc 3); the sentence that only P' holds has to stay in doc 9."""
+    stem = " ".join(f"stem{k}" for k in range(60)) + "."
+    one, two = (f"{' '.join(f'tail{k}' for k in range(13))} {end}." for end in ("first", "second"))
+    rows = [(3, f"{stem} {one}"), (5, f"{stem} {two}"), (9, f"A lead of its own. {two} An end."), (11, f"Another lead. {two} Another end.")]
+    found = paragraphs.repeated_passages(documents(spark, rows)).collect()
+    assert {r.doc_id: r.kept for r in found if r.level == "paragraph"} == {3: True, 5: False}
+    for component in {r.component_id for r in found}:
+        assert sum(r.kept for r in found if r.component_id == component and r.level == "paragraph") <= 1
+        assert any(r.kept for r in found if r.component_id == component)
+    left = {r.doc_id: r.text for r in paragraphs.drop_repeats(documents(spark, rows)).collect()}
+    assert left[5] == "" and two in left[9] and two not in left[11] and stem in left[3]
+
+
 def test_passages_give_places_in_the_text():
     text = "Not long.\nThis one has a good ten words and then some more. Short. And this sentence is as long as the first one was."
     for _, a, b, words in paragraphs.passages(text):
