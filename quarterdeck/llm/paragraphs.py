@@ -1,12 +1,13 @@
 """Substring dedup: repeated paragraphs by MinHash banding.
 
-Two kinds of passages are compared across all documents:
+Three kinds of passages are compared across all documents:
 
 * paragraphs (lines), by min-hashes of their five-word shingles (64-bit hashes stand for these). ``BANDS`` bands of ``ROWS`` hashes are tuned so that a
   pair at the least similarity shares a band with 0.997 probability; pairs that share one are verified by their exact
   Jaccard similarity;
 * sentences, because a passage that was put into other text shares no paragraph, but its sentences. These are too
-  short for a shingle to differ and still reach the similarity, so equal words are what is asked.
+  short for a shingle to differ and still reach the similarity, so equal words are what is asked;
+* spans (``spans``): words in a row, wherever they begin and end, that an earlier document has too.
 
 Equal passages are one row from the start, however many copies there are. Links between different paragraphs are
 found in rounds: first each paragraph of a band is verified against one leader, and components are formed; then pairs of a
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import staged
 from quarterdeck.llm.components import components
+from quarterdeck.llm.spans import repeated_spans
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -255,6 +257,27 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     repeat a doc_id share their places: the same passage in both is kept in both. Whole texts take part, whatever
     their length; other columns are not read; an empty table gives an empty result.
     """
+    return _repeated_units(docs, similarity).drop("near")
+
+
+def repeated_text(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``repeated_passages``, and those of level span, with the same columns.
+
+    Spans are given where words go that lie in no paragraph or sentence that goes; the span that is kept may be longer than
+    another of its component, and parts of it may go for a still earlier document. Only another document's words, with
+    a smaller doc_id, make a span go.
+    """
+    units = staged(_repeated_units(docs, similarity), "repeated-units")
+    spans = staged(repeated_spans(_narrow(docs), units.where("not kept").select("doc_id", "start", "stop", "near")), "repeated-spans")
+    name = _component(F.col("keep_doc"), F.col("keep_start")).alias("component_id")
+    later = spans.select("doc_id", F.lit("span").alias("level"), "start", "stop", name, F.lit(False).alias("kept"))
+    earliest = spans.groupBy("keep_doc", "keep_start").agg(F.max("keep_stop").alias("stop"))
+    earliest = earliest.select(F.col("keep_doc").alias("doc_id"), F.lit("span").alias("level"), F.col("keep_start").alias("start"), "stop", name, F.lit(True).alias("kept"))
+    return units.drop("near").unionByName(later).unionByName(earliest)
+
+
+def _repeated_units(docs: DataFrame, similarity: float) -> DataFrame:
+    """``repeated_passages``, and whether a passage may be unlike the one that is kept (``near``)."""
     found = staged(_narrow(docs).mapInArrow(_find, _PASSAGE), "passages")
     place = _place(F.col("doc_id"), F.col("start"))
     # Code and bands depend on the words alone, so any one of a group serves.
@@ -264,8 +287,8 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     roots = staged(linked_paragraphs(docs, distinct, similarity), "paragraph-roots")
 
     everyone = roots.select(F.col("node").alias("code"), "root").unionByName(roots.select(F.col("root").alias("code"), "root").distinct())
-    linked = keys.where(F.col("level") == PARAGRAPH).join(everyone, "code").select("key", "level", F.col("root").alias("group"))
-    equal = keys.where("n > 1").select("key", "level", F.col("code").alias("group"))
+    linked = keys.where(F.col("level") == PARAGRAPH).join(everyone, "code").select("key", "level", "first", F.col("root").alias("group"))
+    equal = keys.where("n > 1").select("key", "level", "first", F.col("code").alias("group"))
     # A key that is linked goes by its root, others by their own code.
     groups = linked.unionByName(equal.join(linked.select("key"), "key", "left_anti")).withColumnRenamed("level", "group_level")
     names = found.select("doc_id", "level", "start", "stop", "key", place.alias("place"), _place(F.col("doc_id"), F.col("line_start")).alias("line"))
@@ -279,11 +302,16 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
         F.when(F.col("level") == PARAGRAPH, "paragraph").otherwise("sentence").alias("level"),
         "start",
         "stop",
-        F.concat_ws(":", doc.cast("long").cast("string"), (F.col("keep") - doc * base).cast("int").cast("string")).alias("component_id"),
+        _component(doc.cast("long"), F.col("keep") - doc * base).alias("component_id"),
         (F.col("stays") & (F.col("place") == F.col("keep"))).alias("kept"),
+        (F.col("first") != F.col("keep")).alias("near"),
     )
 
 
+def _component(doc_id: Column, start: Column) -> Column:
+    return F.concat_ws(":", doc_id.cast("string"), start.cast("int").cast("string"))
+
+
 def _keepers(rows: DataFrame) -> DataFrame:
     """``(group, keep, stays)``: the earliest place of each group that lies in no paragraph that goes.
 
@@ -324,7 +352,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
     Documents stay, in the worst case with an empty text, and untouched ones stay as they are.
     """
-    gone = repeated_passages(docs).where("not kept").groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("__gone"))
+    gone = repeated_text(docs).where("not kept").groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("__gone"))
     joined = docs.join(gone, "doc_id", "left")
     rest = [c for c in docs.columns if c != "text"]
     packed = joined.select(F.struct(*rest).alias("row"), F.col("text").cast("string").alias("text"), F.col("__gone").alias("gone"))

@@ -20,7 +20,7 @@ def query(fn):
 
 @query
 def op1_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
+    return paragraphs.repeated_text(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -77,6 +78,40 @@ def test_a_sentence_is_not_kept_inside_a_paragraph_that_goes(spark):
     assert left[5] == "" and two in left[9] and two not in left[11] and stem in left[3]
 
 
+def span_brute(rows):
+    """What is left of texts without repeated paragraphs and sentences, over all word positions."""
+    words = {d: [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"\S+", t)] for d, t in rows}
+    first = {}
+    for d in sorted(words):
+        for k in range(len(words[d]) - 49):
+            first.setdefault(tuple(w for *_, w in words[d][k : k + 50]), d)
+    out = []
+    for d, t in rows:
+        gone = set()
+        for k in range(len(words[d]) - 49):
+            if first[tuple(w for *_, w in words[d][k : k + 50])] < d:
+                gone.update(range(words[d][k][0], words[d][k + 49][1]))
+        out.append((d, "".join(c for k, c in enumerate(t) if k not in gone)))
+    return out
+
+
+def test_spans_without_sentence_ends_are_brute_force(spark):
+    rng, source = random.Random(9), [" ".join(f"wörd{k}x{n}" for n in range(400)) for k in range(6)]
+    rows = [(k, s) for k, s in enumerate(source)]
+    for k in range(30):
+        own = [f"own{k}n{n}" for n in range(120)]
+        for size in rng.choices([30, 49, 50, 51, 59, 90, 200], k=2):
+            at, words = rng.randrange(200), rng.choice(source).split(" ")
+            own[rng.randrange(len(own)) : 0] = ["  ".join(words[at : at + size]).upper().replace("Ö", "ö")]
+        rows.append((10 + k, " ".join(own)))
+    docs = documents(spark, rows, clash=True)
+    left = tuples(paragraphs.drop_repeats(docs), "doc_id", "text")
+    assert left == sorted(span_brute(rows), key=repr) and left != sorted(rows, key=repr)
+    found = paragraphs.repeated_text(docs).collect()
+    assert {r.level for r in found} == {"span"}
+    assert all(any(r.kept for r in found if r.component_id == c) for c in {r.component_id for r in found})
+
+
 def test_passages_give_places_in_the_text():
     text = "Not long.\nThis one has a good ten words and then some more. Short. And this sentence is as long as the first one was."
     for _, a, b, words in paragraphs.passages(text):
