@@ -3,7 +3,7 @@
 Two texts share ``SPAN_WORDS`` words in a row if a window of so many words is equal. To hash every window of the corpus
 would cost a row per word, so windows are narrowed first: each names the smallest hash among the runs of ``PRINT_WORDS``
 words inside it (winnowing), which depends on its words alone. Equal windows name the same one, hence a window whose
-smallest hash is in no other document has no copy. The rest are grouped by two hashes of all their words, and windows
+smallest hash is in no other document has no copy. In scripts without blanks each character counts as a word. The rest are grouped by two hashes of all their words, and windows
 in a row with the same earlier document and distance are one span.
 """
 
@@ -54,11 +54,25 @@ def _rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int
     return mixed ^ mixed >> np.uint64(29)
 
 
+def _unspaced(raw: np.ndarray) -> np.ndarray:
+    """Whether a character of a script without blanks begins: Thai, Lao, Burmese, Khmer, and from U+3000 on."""
+    after = np.append(raw[1:], np.uint8(0))
+    south = (raw == 0xE0) & (after >= 0xB8) & (after <= 0xBB)
+    east = (raw == 0xE1) & ((after >= 0x80) & (after <= 0x82) | (after == 0x9E) | (after == 0x9F))
+    return south | east | (raw >= 0xE3)
+
+
 def words_at(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First bytes of words, and the bytes behind them."""
     blank = _BLANK[raw]
     first = ~blank
     first[1:] &= blank[:-1]
+    alone = np.flatnonzero(_unspaced(raw))
+    if len(alone):
+        first[alone] = True
+        behind = alone + 3 + (raw[alone] >= 0xF0)
+        behind = behind[behind < len(raw)]
+        first[behind[~blank[behind]]] = True
     starts = np.flatnonzero(first)
     edges = np.append(np.flatnonzero(first | blank), len(raw))
     return starts, edges[np.searchsorted(edges, starts, "right")]

@@ -112,6 +112,20 @@ def test_spans_without_sentence_ends_are_brute_force(spark):
     assert all(any(r.kept for r in found if r.component_id == c) for c in {r.component_id for r in found})
 
 
+def test_passages_of_short_sentences_and_of_scripts_without_blanks_are_found(spark):
+    """No sentence has ten words, and a line without blanks is one; what is shared has 60 words and 80 characters."""
+    rng = random.Random(4)
+    short = " ".join(" ".join(f"w{k}x{n}" for n in range(6 + k % 4)) + "." for k in range(8))
+    wide = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(80))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(80))
+    lead = " ".join(f"Own {k} lead." for k in range(20))
+    rows = [(1, f"Start one. {short} End one."), (2, f"abc{wide}def"), (3, f"x{thai} y"), (4, f"{lead} {short} And so on."), (5, f"中{wide}文 z"), (6, f"ก ข{thai}é")]
+    left = {r.doc_id: r.text for r in paragraphs.drop_repeats(documents(spark, rows)).collect()}
+    assert [left[k] for k in (1, 2, 3)] == [t for _, t in rows[:3]]
+    assert short not in left[4] and left[4].split() == f"{lead} And so on.".split()
+    assert left[5].replace("中", "").replace("文", "") == " z" and left[6] == "ก ขé"
+
+
 def test_passages_give_places_in_the_text():
     text = "Not long.\nThis one has a good ten words and then some more. Short. And this sentence is as long as the first one was."
     for _, a, b, words in paragraphs.passages(text):
