@@ -3,8 +3,9 @@
 A word's embedding is the sum of hashed rows of one table: for the word and for its first four and five letters, so
 that unseen endings share what was learnt. Filters of one, two and three words run over the whole text; the
 largest answer of each filter (at least 0) feeds a logistic output. Training takes a bounded sample of labelled rows
-(``MAX_TOXIC`` and ``MAX_CLEAN``), a fifth of which only calibrates: the threshold over all languages becomes score 0.5,
-and each language gets a threshold of its own on that scale. Language is used for these thresholds alone, never
+(``MAX_TOXIC`` and ``MAX_CLEAN``) less a fifth. All other labelled rows calibrate, scored in Spark and counted in narrow bins,
+with classes weighted to their ratio among all labels: the threshold over all languages becomes score 0.5, and each
+language gets a threshold of its own on that scale. Language is used for these thresholds alone, never
 for a score. The model is a few megabytes whatever the corpus, and tasks score whole texts with it.
 """
 
@@ -20,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterdeck.llm.common import staged
 from quarterdeck.llm.units import gather
 
 MAX_TOXIC, MAX_CLEAN = 1500, 2500  # labelled rows that training may take, whole texts
@@ -27,6 +29,7 @@ ROWS, WIDTH, FILTERS, WIDTHS = 1 << 15, 16, 8, (1, 2, 3)
 FOLDS = 5  # one of which, remainder 0, is held out
 STEMS = (4, 5)  # letters of a word's beginning that have rows of their own
 MIN_CALIBRATION = 20  # toxic rows a language needs for a threshold of its own
+BINS = 256  # to each unit of log odds, where thresholds are sought
 EPOCHS, BATCH, RATE = 8, 32, 0.1
 _SLICE_BYTES = 4 << 20
 _SEED = 20240229
@@ -136,7 +139,9 @@ class Model:
 
     def scores(self, words: Words) -> np.ndarray:
         """Probabilities, stretched so that ``cut`` becomes 0.5."""
-        p = self.probabilities(words)
+        return self.stretched(self.probabilities(words))
+
+    def stretched(self, p: np.ndarray) -> np.ndarray:
         return np.where(p < self.cut, 0.5 * p / self.cut, 0.5 + 0.5 * (p - self.cut) / max(1 - self.cut, 1e-12)).clip(0, 1)
 
 
@@ -207,33 +212,58 @@ def _learn(model: Model, adagrad: _Adagrad, words: Words, toxic: np.ndarray, wei
     model.bias -= RATE * d_bias / adagrad.bias_seen**0.5
 
 
-def best_cut(scores: np.ndarray, toxic: np.ndarray) -> float:
-    """Between the scores where F1 is highest, the middle of the gap there."""
-    order = np.argsort(-scores, kind="stable")
-    ranked, hits = scores[order], np.cumsum(toxic[order])
-    f1 = 2 * hits / (np.arange(1, len(ranked) + 1) + toxic.sum())
-    f1[:-1][ranked[:-1] == ranked[1:]] = -1  # no cut between equal scores
+@dataclass
+class Bins:
+    """Calibrating rows of a range of scores each, the highest first: weights of toxic and of all rows, least and largest score."""
+
+    toxic: np.ndarray
+    total: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
+def best_cut(bins: Bins) -> float:
+    """Between the bins where F1 is highest, the middle of the gap there."""
+    f1 = 2 * np.cumsum(bins.toxic) / (np.cumsum(bins.total) + bins.toxic.sum())
     k = int(f1.argmax())
-    below = ranked[k + 1] if k + 1 < len(ranked) else 0.0
-    return float(np.clip((ranked[k] + below) / 2, 1e-6, 1 - 1e-6))
+    below = bins.high[k + 1] if k + 1 < len(f1) else 0.0
+    return float(np.clip((bins.low[k] + below) / 2, 1e-6, 1 - 1e-6))
+
 
+def calibrate(model: Model, rows: DataFrame, fitted: tuple[int, int]) -> None:
+    """Set the cut over all languages, and the threshold of each language with enough toxic rows.
 
-def calibrate(model: Model, texts: list[str], langs: list[str | None], toxic: np.ndarray) -> None:
-    """Set the cut over all languages, and the threshold of each language with enough toxic rows."""
-    toxic = np.asarray(toxic)
-    if not len(texts) or toxic.min() == toxic.max():
+    ``rows(lang, toxic, p)`` had no part in training; ``fitted`` are the numbers of toxic and clean rows that had.
+    """
+    p = F.least(F.greatest("p", F.lit(1e-15)), F.lit(1 - 1e-15))
+    counted = rows.withColumn("bin", F.floor(F.log(p / (1 - p)) * BINS)).groupBy("lang", "bin")
+    bins = staged(counted.agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("total"), F.min("p").alias("low"), F.max("p").alias("high")), "toxicity-bins")
+    sums = [F.sum("toxic").alias("toxic"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high")]
+    whole = bins.groupBy("bin").agg(*sums).orderBy(F.desc("bin")).collect()
+    toxic, total = sum(r.toxic for r in whole), sum(r.total for r in whole)
+    if toxic in (0, total):
         return
-    words = words_of(pa.array(texts, pa.large_string()))
-    model.cut = best_cut(model.probabilities(words), toxic)
-    scores = model.scores(words)
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([x == lang for x in langs])
-        if toxic[own].sum() >= MIN_CALIBRATION and not toxic[own].all():
-            model.thresholds[lang] = best_cut(scores[own], toxic[own])
+    weights = (toxic + fitted[0]) / toxic, (total - toxic + fitted[1]) / (total - toxic)
 
+    def weighted(found: list) -> Bins:
+        own, every, low, high = (np.array([r[c] for r in found], dtype=np.float64) for c in ("toxic", "total", "low", "high"))
+        return Bins(own * weights[0], own * weights[0] + (every - own) * weights[1], low, high)
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
-    """Train and calibrate on a bounded sample of the labelled rows that are not held out.
+    model.cut = best_cut(weighted(whole))
+    enough = bins.where("lang is not null").groupBy("lang").agg(F.sum("toxic").alias("n"), F.sum("total").alias("of")).where((F.col("n") >= MIN_CALIBRATION) & (F.col("n") < F.col("of")))
+    own: dict[str, list] = {}
+    for row in bins.join(enough.select("lang"), "lang").orderBy("lang", F.desc("bin")).collect():
+        own.setdefault(row.lang, []).append(row)
+    for lang, found in own.items():
+        stretched = weighted(found)
+        stretched.low, stretched.high = model.stretched(stretched.low), model.stretched(stretched.high)
+        model.thresholds[lang] = best_cut(stretched)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> tuple[Model, DataFrame]:
+    """Train on a bounded sample of the labelled rows that are not held out, calibrate on all others of them.
+
+    Gives the model, and ``(doc_id, lang, p)`` of every row of ``docs``, scored once for calibration and result.
 
     The sample is the rows with the smallest hashes of their doc_id. Rows without doc_id or label take no part; of
     a document labelled twice every row may be drawn.
@@ -242,24 +272,34 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     known = known.where(~held_out(F.col("doc_id"))).withColumn("draw", F.xxhash64("doc_id"))
     drawn = known.where("toxic > 0").orderBy("draw", "doc_id").limit(max_toxic).unionByName(known.where("toxic <= 0").orderBy("draw", "doc_id").limit(max_clean))
     # At most max_toxic + max_clean rows of two numbers: small enough to broadcast.
+    drawn = staged(drawn.where(F.col("draw") % FOLDS != 0), "toxicity-sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col("lang").cast("string").alias("lang")] if "lang" in docs.columns else [F.lit(None).cast("string").alias("lang")]))
-    rows = texts.join(F.broadcast(drawn), "doc_id").orderBy("draw", "doc_id").limit(max_toxic + max_clean).select("text", "lang", "toxic", "draw").collect()
-    fitting, calibrating = [r for r in rows if r.draw % FOLDS], [r for r in rows if not r.draw % FOLDS]
-    model = train([r.text or "" for r in fitting], np.array([int(r.toxic > 0) for r in fitting]))
-    calibrate(model, [r.text or "" for r in calibrating], [r.lang for r in calibrating], np.array([int(r.toxic > 0) for r in calibrating]))
-    return model
+    fitting = texts.join(F.broadcast(drawn), "doc_id").orderBy("draw", "doc_id").limit(max_toxic + max_clean).select("text", "toxic").collect()
+    toxic = np.array([int(r.toxic > 0) for r in fitting])
+    model = train([r.text or "" for r in fitting], toxic)
+    others = known.join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id", "left_anti")
+    scored = staged(texts.mapInArrow(_score(model), "doc_id long, lang string, p double"), "toxicity-scores")
+    rows = scored.join(others, "doc_id").select("lang", (F.col("toxic") > 0).cast("int").alias("toxic"), "p")
+    calibrate(model, rows, (int(toxic.sum()), int(len(toxic) - toxic.sum())))
+    return model, scored
+
+
+def _sliced(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """First rows and numbers of rows of bounded stretches of texts."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    firsts = np.flatnonzero(np.diff(size // _SLICE_BYTES, prepend=-1)).tolist()
+    for first, last in zip(firsts, [*firsts[1:], len(texts)]):
+        yield first, last - first
 
 
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.large_string())
-            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
-            firsts = np.flatnonzero(np.diff(size // _SLICE_BYTES, prepend=-1)).tolist()
-            for first, last in zip(firsts, [*firsts[1:], len(texts)]):
-                scores = model.scores(words_of(texts.slice(first, last - first)))
-                columns = [batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(scores)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "score"])
+            for part in _sliced(texts):
+                p = model.probabilities(words_of(texts.slice(*part)))
+                columns = [batch.column(0).slice(*part), batch.column(2).slice(*part), pa.array(p)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "p"])
             pa.default_memory_pool().release_unused()
 
     return run
@@ -274,10 +314,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts get the score of a text without words. Rows may repeat or lack a doc_id (held_out false).
     Without usable labels of both kinds all scores are equal. Other columns are not read; lang may be missing.
     """
-    model = fit(docs, labels)
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
-    scored = rows.mapInArrow(_score(model), "doc_id long, lang string, score double")
+    model, scored = fit(docs, labels)
+    p, cut = F.col("p"), F.lit(model.cut)
+    above = 0.5 + 0.5 * (p - cut) / F.lit(max(1 - model.cut, 1e-12))
+    scored = scored.withColumn("score", F.least(F.greatest(F.when(p < cut, 0.5 * p / cut).otherwise(above), F.lit(0.0)), F.lit(1.0)))
     threshold = F.lit(0.5)
     for name, value in model.thresholds.items():
         threshold = F.when(F.col("lang") == name, F.lit(value)).otherwise(threshold)

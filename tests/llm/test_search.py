@@ -148,6 +148,28 @@ def test_toxicity_learns_from_labels_alone(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {d for d, _, _ in rows} - gone
 
 
+def test_thresholds_come_from_all_labels_that_training_left(spark):
+    """A sample of 40 toxic rows has 8 to calibrate with, too few for a language; the cut sees the true ratio."""
+    rows, labels = labelled(700, 6)
+    truth, hidden = dict(labels), {d for d, _ in labels if zlib.crc32(str(d).encode()) % 5 == 0}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model, _ = toxicity.fit(docs, table, max_toxic=40, max_clean=60)
+    assert set(model.thresholds) == {"en", "fr"}
+    draws = sorted((r.draw, r.doc_id) for r in table.selectExpr("doc_id", "xxhash64(doc_id) draw").collect() if r.doc_id not in hidden)
+    used = {d for kind, most in ((1, 40), (0, 60)) for h, d in [x for x in draws if truth[x[1]] == kind][:most] if h % 5}
+    others = [(d, t) for d, t, _ in rows if d not in hidden and d not in used]
+    p = model.probabilities(toxicity.words_of(pa.array([t for _, t in others])))
+    toxic = np.array([truth[d] for d, _ in others])
+    every = np.array([truth[d] for _, d in draws])
+    weight = np.where(toxic > 0, every.sum() / toxic.sum(), (1 - every).sum() / (1 - toxic).sum())
+
+    def f1(cut):
+        return 2 * (weight * toxic)[p >= cut].sum() / (weight[p >= cut].sum() + (weight * toxic).sum())
+
+    assert f1(model.cut) >= max(map(f1, p)) - 0.01
+
+
 def test_scores_ignore_language_labels_and_ids(spark):
     rows, labels = labelled(200, 3)
     words = toxicity.words_of
