@@ -2,6 +2,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from quarterdeck.checks import queries
 from quarterdeck.plans import documents, index, landing, links, periods
 from quarterdeck.schemas import DOC_LINKS, MASTER_INDEX
 from quarterdeck.sinks import tables
@@ -245,3 +246,18 @@ def test_stream_in_bounded_batches(spark, tmp_path):
     spark.createDataFrame([("q", "new"), ("q", "1")], rows.schema).write.mode("append").parquet(source)
     run()
     assert spark.read.parquet(target).count() == 41
+
+
+def test_listed_files_misses_no_file(spark, monkeypatch):
+    """A listing with one file left in each folder is not whole."""
+    whole = files.list_files
+    found = queries.listed_files(spark, "/root/testdata/sf0.01").collect()
+    assert len(found) == 25 and all(r.Listed for r in found)
+
+    def shortened(*args, **kwargs):
+        rows = whole(*args, **kwargs)
+        first = rows.groupBy(F.regexp_extract("path", "c_nationkey=([0-9]+)/", 1)).agg(F.min("path").alias("path")).select("path")
+        return rows.join(first, "path", "left_semi")
+
+    monkeypatch.setattr(files, "list_files", shortened)
+    assert not any(r.Listed for r in queries.listed_files(spark, "/root/testdata/sf0.01").collect())
