@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarterdeck.llm import bpe, exact_dedup, line_dedup, packing, paragraphs, shards, simhash, topk, toxicity, wavelet
+from quarterdeck.llm import bpe, exact_dedup, line_dedup, packing, paragraphs, phrases, shards, simhash, topk, toxicity, wavelet
 from quarterdeck.llm.common import table
 
 QUERIES = {}
@@ -69,6 +69,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -121,3 +126,31 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
        doc_id = first_value(doc_id) OVER best AS kept, sha256(body) AS text_sha256
 FROM rows WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id)
 """
+
+ORACLE["op12_positional_index"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+  SELECT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i : i + 9])) AS p
+  FROM items WHERE len(w) > 0
+), widths AS (
+  SELECT DISTINCT n FROM windows
+), spots AS (
+  SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM docs, widths WHERE len(w) >= n
+), hits AS (
+  SELECT s.r, s.i, s.n, v.item_id FROM (SELECT r, n, i, w[i : i + n - 1] AS p FROM spots) s JOIN windows v ON s.n = v.n AND s.p = v.p
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT r, i, unnest(range(0, n)) AS k FROM hits) GROUP BY r
+), found AS (
+  SELECT r, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hits WHERE item_id IS NOT NULL GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
