@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarterdeck.llm import bpe, exact_dedup, line_dedup, packing, paragraphs, phrases, shards, simhash, topk, toxicity, wavelet
+from quarterdeck.llm import alignment, bpe, exact_dedup, line_dedup, packing, paragraphs, phrases, shards, simhash, topk, toxicity, wavelet
 from quarterdeck.llm.common import table
 
 QUERIES = {}
@@ -74,6 +74,11 @@ def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op13_pointer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -58,6 +58,9 @@ class UnitEncoder:
         self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.separator, self.separator_id = next(iter(self.specials.items()))
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self._start()
+
+    def _start(self) -> None:
         self.units = pa.array([], pa.large_string())
         self.lengths, self.met_again = np.zeros(0, np.int64), np.zeros(0, bool)
         self.store = np.zeros(0, self.dtype)
