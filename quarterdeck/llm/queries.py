@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarterdeck.llm import alignment, bpe, exact_dedup, line_dedup, packing, paragraphs, phrases, shards, simhash, topk, toxicity, wavelet
+from quarterdeck.llm import alignment, bpe, exact_dedup, line_dedup, packing, paragraphs, phrases, shards, simhash, spelling, topk, toxicity, wavelet
 from quarterdeck.llm.common import table
 
 QUERIES = {}
@@ -69,6 +69,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -132,6 +137,53 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM rows WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id)
 """
 
+#: DuckDB has no CRC-32, so it is folded over the bytes with the table of the reflected polynomial 0xEDB88320.
+ORACLE["op11_spelling_variants"] = r"""
+WITH RECURSIVE table_steps AS (
+  SELECT range AS i, range::BIGINT AS v, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM table_steps WHERE k < 8
+), crc AS (
+  SELECT list(v ORDER BY i) AS t FROM table_steps WHERE k = 8
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), named AS (
+  SELECT d, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), digests AS (
+  SELECT run, times, hex(encode(d || ':' || run)) AS h FROM named
+), hashed AS (
+  SELECT run, times, xor(list_reduce(
+    list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), 4294967295::BIGINT), 4294967295) AS c
+  FROM digests, crc
+), spelt AS (
+  SELECT CASE WHEN c % 97 = 0 THEN substr(run, 1, c % length(run)) || substr(run, c % length(run) + 2) ELSE run END AS word, times FROM hashed
+), vocab AS (
+  SELECT word, sum(times)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), holes AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS hole FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM holes a JOIN holes b ON a.i = b.i AND a.hole = b.hole AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN vocab b ON a.hole = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN vocab b ON a.hole = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY word
+), forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN m >= 2 * v.n THEN (SELECT min(other) FROM near x WHERE x.word = v.word AND x.m = best.m) END AS form,
+         CASE WHEN m >= 2 * v.n THEN m END AS form_n
+  FROM vocab v LEFT JOIN best USING (word)
+), path AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL
+  SELECT p.word, f.form FROM path p JOIN forms f ON p.at = f.word WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT p.word, p.at AS root FROM path p JOIN forms f ON p.at = f.word WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
 ORACLE["op12_positional_index"] = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id,
