@@ -305,6 +305,7 @@ ORACLE: dict[str, str] = {
         (SELECT YearQtr FROM filings WHERE DateFiled < DATE '1999-01-01')""",
     "selected_filings": f"WITH {FILINGS} SELECT {INDEX_COLUMNS} FROM filings WHERE Status = 'F'",
     "pending_filings": f"WITH {FILINGS} SELECT {INDEX_COLUMNS} FROM filings WHERE Status <> 'F'",
+    "processed_filter": f"WITH {FILINGS} SELECT {INDEX_COLUMNS} FROM filings WHERE Status <> 'F'",
     "distinct_filings": f"WITH {FILINGS} SELECT DISTINCT CIK, FormType FROM filings",
     "work_batches": f"""WITH {FILINGS} SELECT CAST(ceil(row_number() OVER (PARTITION BY YearQuarter, FormType
             ORDER BY HashIndex) / 10.0) AS BIGINT) AS Seq, YearQtr AS YearQtrSave,

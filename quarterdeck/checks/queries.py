@@ -14,7 +14,7 @@ from ..plans import documents, index, landing, links, lookups, periods
 from ..operators.stages import staged
 from ..schemas import DOC_LINKS, RUN_LOG, WORK_QUEUE
 from ..session import shared_dir
-from ..sinks import tables
+from ..sinks import processed, tables
 from ..sources import datasets, files
 from ..sources.index_text import add_filing_ids, parse_index
 from ..streaming.ingest import ingest
@@ -105,6 +105,16 @@ def pending_filings(spark, sf):
     return links.pending_filings(found, views.processed(found)).drop("Status")
 
 
+@query
+def processed_filter(spark, sf):
+    """Pending filings by the filters beside the processed keys, which two runs noted; the second outgrows the first."""
+    found, path = staged(views.with_quarter(views.filings(spark, sf, ("Status", "Segment"))), "filings"), shared_dir(spark, "processed")
+    done = views.processed(found)
+    for run in (done.filter(F.col("Segment") == "BUILDING"), done):
+        processed.append_done(spark, run, path, [tables.QUARTER], ["HashIndex"])
+    return processed.pending(spark, found, path, [tables.QUARTER], ["HashIndex"]).drop("Status", "Segment", tables.QUARTER)
+
+
 @query
 def distinct_filings(spark, sf):
     return views.filings(spark, sf).select("CIK", "FormType").distinct()
