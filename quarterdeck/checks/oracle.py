@@ -360,6 +360,13 @@ ORACLE: dict[str, str] = {
         SELECT DocID, HTML, TextRaw, {_standardize("TextRaw")} AS TextMod, DocExt, FALSE AS ErrParse,
           CAST(NULL AS VARCHAR) AS MsgParse FROM files
         UNION ALL SELECT concat('z', page_id), NULL, NULL, NULL, 'zip', TRUE, 'zip is not supported' FROM pages""",
+    "documents_job": f"""WITH {_page_text("SELECT page_id AS Id, html FROM pages")},
+        files AS (SELECT doc_id AS n, concat('d', doc_id) AS DocID, text AS HTML, text AS TextRaw, 'txt' AS DocExt, 'Text' AS TypeSave FROM documents
+          UNION ALL SELECT Id, concat('p', Id), html, T, 'htm', 'WebPage' FROM texts),
+        parsed AS (SELECT n, DocID, HTML, TextRaw, {_standardize("TextRaw")} AS TextMod, DocExt, FALSE AS ErrParse,
+            CAST(NULL AS VARCHAR) AS MsgParse, TypeSave FROM files
+          UNION ALL SELECT page_id, concat('z', page_id), NULL, NULL, NULL, 'zip', TRUE, 'zip is not supported', 'Other' FROM pages)
+        SELECT * EXCLUDE (n), concat(2000 + n % 3, '-', n % 4 + 1) AS YQSave FROM parsed""",
     "list_files": """WITH p AS (SELECT regexp_replace(url, '[?#].*$', '') AS path FROM pages)
         SELECT regexp_replace(regexp_extract(path, '([^/]*)$', 1), '\\.[^.]*$', '') AS doc_id, path
         FROM p WHERE regexp_matches(path, '\\.html?$')""",

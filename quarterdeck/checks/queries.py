@@ -315,6 +315,19 @@ def parse_documents(spark, sf):
     return documents.parse_documents(views.raw_files(spark, sf))
 
 
+@query
+def documents_job(spark, sf):
+    """Landed files parsed in two runs, of plain texts and of the rest; a third finds nothing to open."""
+    raw, out = shared_dir(spark, "landed"), shared_dir(spark, "documents")
+    known = spark.createDataFrame([row[1:] for row in views.LANDED_TYPES], "DocTypeRaw string, DocTypeMod string")
+    found = staged(views.landed_links(spark, sf), "landed-links")
+    placed = documents.docs_by_type(found, known).select("DocID", F.col("PathOrig").alias("path"))
+    views.land(placed.join(found, "DocID"), raw)
+    for wanted in (found.filter("Type = 'plain'").select("DocID"), None, None):
+        built = documents.build_documents(spark, found.drop("content"), known, raw, out, wanted)
+    return built
+
+
 @query
 def list_files(spark, sf):
     # Addresses without query and fragment, as the paths of landed files.

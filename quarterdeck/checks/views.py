@@ -6,6 +6,8 @@ extractors are checked against the values they were rendered from.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -224,6 +226,39 @@ def raw_files(spark: SparkSession, sf: str) -> DataFrame:
     return documents.unionByName(html).unionByName(other)
 
 
+#: Extension of a landed file, its raw type and modified type.
+LANDED_TYPES = [("txt", "plain", "Text"), ("htm", "web", "Web / Page"), ("zip", "packed", "Other")]
+
+
+def landed_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Links of the documents in ``raw_files``, spread over twelve quarters, with the file's content."""
+    files = raw_files(spark, sf).withColumn("DocID", F.regexp_extract("path", "([^/]+)[.]", 1))
+    number, ext = F.regexp_extract("DocID", "([0-9]+)$", 1).cast("long"), F.lower(F.regexp_extract("path", "[.]([^.]+)$", 1))
+    kind = F.lit(None).cast("string")
+    for name, raw, _ in LANDED_TYPES:
+        kind = F.when(ext == name, F.lit(raw)).otherwise(kind)
+    return files.select(
+        "DocID",
+        kind.alias("Type"),
+        F.round(2000 + number % 3 + (number % 4 + 1) / 10, 1).alias("YearQuarter"),
+        F.concat(F.lit("https://files.example.com/"), "DocID", F.lit("."), ext).alias("UrlDocument"),
+        "content",
+    )
+
+
+def land(files: DataFrame, root: str) -> None:
+    """Write files (path below ``root``, content) one by one, as a fetch leaves them; local folders only."""
+
+    def write(rows) -> None:
+        for row in rows:
+            place = os.path.join(root.removeprefix("file:"), row.path)
+            os.makedirs(os.path.dirname(place), exist_ok=True)
+            with open(place, "wb") as file:
+                file.write(row.content)
+
+    files.select("path", "content").foreachPartition(write)
+
+
 def responses(spark: SparkSession, sf: str) -> DataFrame:
     """Events as responses: transport errors, statuses, content."""
     kind = F.col("event_type")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,13 +15,18 @@ from ..functions.text import StandardizeOptions, standardize_text
 from ..functions.urls import HTML_EXTENSIONS, TEXT_EXTENSIONS, base_name, file_extension, path_of, type_label, unwrap_viewer
 from ..operators.keys import keep_first, not_done, only_ids
 from ..operators.ordered import hash_bucket, number_rows
+from ..operators.quality import log_rows
 from ..operators.reshape import nest_groups
 from ..operators.stages import staged
 from ..schemas import PARSED_DOCUMENT
-from ..sinks.tables import balance, read_if_exists, write_partitioned
-from ..sources.files import decode_text, read_files
+from ..sinks.processed import extend_filter, pending
+from ..sinks.tables import append_run_log, read_if_exists, write_partitioned
+from ..sources.files import decode_text
+from ..sources.landed import landed_files, open_files
 
 GROUP = ["TypeSave", "YQSave"]
+TASK_BYTES = 64 << 20  # of landed files that a task parses
+PARSED = "Parsed Documents: "  # text of the log
 
 
 def docs_by_type(links: DataFrame, types: DataFrame, ids: DataFrame | Sequence[str] | None = None) -> DataFrame:
@@ -118,25 +123,47 @@ def build_documents(
 ) -> DataFrame:
     """Parse the landed files of pending documents and append them by type and quarter; returns that table.
 
-    Files lie below ``raw_dir`` in the folders of ``PathOrig`` (Original/type/quarter). The pending documents are joined to a
-    listing first, which opens no file; then only the folders that hold one are read. The bytes as landed are
-    what gets balanced over the tasks; they are parsed after that and written without another shuffle, because the parsed
-    row holds the same text three times.
+    Files lie below ``raw_dir`` in the folders of ``PathOrig`` (Original/type/quarter). Only the folders of pending documents are
+    listed, in tasks, and only their files are opened, by the task that parses them; large groups are dealt out to
+    tasks by size. So no byte is shuffled, and parsed rows, which hold a text three times, are written where they
+    come up. The log notes what a run opened.
     """
     path = f"{out_dir}/Parsed"
-    pending = pending_documents(links, types, read_if_exists(spark, path), ids).select("DocID", *GROUP, "DocExt")
-    listed = read_files(spark, raw_dir).select("path").withColumns(_file_keys())
-    wanted = staged(listed.join(pending, [*GROUP, "DocID", "DocExt"]), "wanted-files")
-    # As many folders as there are types and quarters with pending files.
-    folders = [r.folder for r in wanted.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect()]
-    if folders:
-        files = read_files(spark, folders).select("path", "content")
-        rows = files.join(wanted.select("path", *GROUP), "path").select("path", "content", *GROUP)
-        write_partitioned(parse_documents(balance(rows, GROUP)), path, GROUP, compression="gzip", balanced=False)
+    pending_docs = staged(pending(spark, pending_documents(links, types, None, ids), path, GROUP, ["DocID"]), "pending-documents")
+    # As many folders as there are types and quarters with pending documents.
+    groups = pending_docs.select(*GROUP).distinct().collect()
+    if groups:
+        roots = ["/".join([raw_dir.rstrip("/"), "Original", g.TypeSave, g.YQSave]) for g in groups]
+        listed = landed_files(spark, roots, depth=0).select("path", "length").withColumns(_file_keys())
+        wanted = listed.join(pending_docs.select(*GROUP, "DocID", "DocExt"), [*GROUP, "DocID", "DocExt"])
+        wanted = staged(wanted, "wanted-files")
+        if not wanted.isEmpty():
+            _parse_files(spark, wanted, path, f"{out_dir}/Log")
     built = read_if_exists(spark, path)
     return built if built is not None else spark.createDataFrame([], _PARSED)
 
 
+def dealt_by_size(files: DataFrame, by: Sequence[str], task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Files (path, length and ``by``) dealt out so that a task has about ``task_bytes`` of them, of one group if it is large."""
+    parts = F.greatest(F.ceil(F.sum("length") / task_bytes), F.lit(1)).cast("int")
+    sizes = files.groupBy(*by).agg(parts.alias("__parts"))
+    # Small groups share a task.
+    tasks = files.agg(F.coalesce(F.ceil(F.sum("length") / task_bytes), F.lit(0))).first()[0]
+    part = F.pmod(F.xxhash64("path"), F.col("__parts"))
+    return files.join(sizes, list(by)).withColumn("__part", part).repartition(max(int(tasks), 1), *by, "__part").drop("__part", "__parts")
+
+
+def _parse_files(spark: SparkSession, wanted: DataFrame, path: str, log: str) -> None:
+    opened, seen = open_files(dealt_by_size(wanted.select("path", "length", *GROUP), GROUP)), Observation()
+    parsed = parse_documents(opened.drop("length"))
+    counts = F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("ErrParse").cast("int")), F.lit(0)).alias("errors")
+    extend_filter(spark, wanted, path, GROUP, ["DocID"])
+    write_partitioned(parsed.observe(seen, *counts), path, GROUP, compression="gzip", balanced=False)
+    run = spark.createDataFrame([(seen.get["n"], seen.get["errors"])], "n long, errors long")
+    details = F.concat(F.lit("Errors: "), F.col("errors").cast("string"))
+    append_run_log(log_rows(run, F.current_timestamp(), "INFO", F.concat(F.lit(PARSED), F.col("n").cast("string")), details), log)
+
+
 _PARSED = T.StructType([*PARSED_DOCUMENT.fields, *[T.StructField(c, T.StringType()) for c in GROUP]])
 
 

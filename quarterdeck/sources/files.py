@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import base_name
+from .landed import landed_files
 
 
 def file_ids(paths: DataFrame, regex: str | None = None, path: str = "path") -> DataFrame:
@@ -21,8 +22,8 @@ def file_ids(paths: DataFrame, regex: str | None = None, path: str = "path") ->
 def list_files(
     spark: SparkSession, dirs: str | Sequence[str], regex: str | None = None, recursive: bool = False
 ) -> DataFrame:
-    """List files. Only paths are selected, so no file is opened."""
-    return file_ids(read_files(spark, dirs, recursive).select("path"), regex)
+    """List files, in tasks: the driver holds the folders right below ``dirs`` at most, and no file is opened."""
+    return file_ids(landed_files(spark, dirs, int(recursive), recursive).select("path"), regex)
 
 
 def read_files(spark: SparkSession, dirs: str | Sequence[str], recursive: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from quarterdeck.checks import queries
 from quarterdeck.plans import documents, index, landing, links, periods
 from quarterdeck.schemas import DOC_LINKS, MASTER_INDEX
 from quarterdeck.sinks import tables
-from quarterdeck.sources import files
+from quarterdeck.sources import files, landed
 from quarterdeck.streaming.ingest import ingest
 
 PREAMBLE = "".join(f"Line {i}\n" for i in range(8)) + "\n"
@@ -210,11 +210,16 @@ def test_documents(spark, tmp_path, monkeypatch):
     assert (built["c-4"].MsgParse, built["c-4"].ErrParse) == ("no text found", True)
     assert (built["c-1"].TypeSave, built["c-1"].YQSave) == ("AB", "2020-1")
     assert documents.pending_documents(table, types, spark.read.parquet(out + "/Parsed")).count() == 0
-    # With nothing pending no folder is read.
-    opened = []
-    monkeypatch.setattr(documents, "read_files", lambda s, dirs, **o: opened.append(dirs) or files.read_files(s, dirs, **o))
+    # With nothing pending nothing is listed, and one new file opens one file.
+    log = lambda: sorted(r.Message for r in spark.read.option("header", True).csv(out + "/Log").collect())
+    listed = []
+    monkeypatch.setattr(documents, "landed_files", lambda s, roots, **o: listed.append(roots) or landed.landed_files(s, roots, **o))
     documents.build_documents(spark, table, types, str(raw), out)
-    assert opened == [str(raw)]
+    assert listed == [] and log() == [documents.PARSED + "4"]
+    write(raw / "Original" / "AB" / "2020-2" / "c-7.txt", "new")
+    more = spark.createDataFrame([("i", "c", "c-7", "7", 2020.2, 7, None, None, "T", 1, "https://h/c.txt")], DOC_LINKS)
+    assert documents.build_documents(spark, table.unionByName(more), types, str(raw), out).count() == 5
+    assert listed == [[f"{raw}/Original/AB/2020-2"]] and log() == [documents.PARSED + "1", documents.PARSED + "4"]
 
 
 def test_saved_types_join_without_a_shuffle(spark, tmp_path):
