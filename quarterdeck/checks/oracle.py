@@ -239,7 +239,7 @@ def _pivot(entry: int, company: str, state: str, where: str) -> str:
   CAST(OrderKey AS VARCHAR) AS AccessionNumber, Nation || ' Main St' || chr(10) || 'City ' || Nation AS MailingAddress,
   Nation || ' High St' AS BusinessAddress, {company} AS CompanyName, C AS Cik, CAST(OrderKey AS VARCHAR) AS IrsNo,
   {state} || Nation AS StateOfIncorp, '1231' AS FiscalYearEnd, FormType AS Type, '34' AS Act, '001:' || OrderKey AS FileNo,
-  CAST(Nation AS VARCHAR) AS Sic, Segment AS Other, 0 AS Error, 'Success: All Elements Parsed' AS Message
+  CAST(Nation AS VARCHAR) AS Sic, 'LeadPart=' || Segment AS Other, 0 AS Error, 'Success: All Elements Parsed' AS Message
   FROM cik {where}"""
 
 
@@ -341,6 +341,11 @@ ORACLE: dict[str, str] = {
     "landing_company": f"WITH {LANDED} {COMPANY}",
     "landing_ident": f"WITH {LANDED} {IDENT}",
     "landing_pivot": f"WITH {LANDED} {LANDING}",
+    "attribute_pivot": """WITH f AS (SELECT user_id, event_type, arg_min(coalesce(value::VARCHAR, 'null'), row(ts, event_id)) AS v FROM events GROUP BY ALL)
+        SELECT user_id AS Entity, nullif(max(CASE WHEN event_type = 'view' THEN v END), 'null')::DOUBLE AS FirstView,
+          nullif(max(CASE WHEN event_type = 'click' THEN v END), 'null')::DOUBLE AS FirstClick,
+          nullif(max(CASE WHEN event_type = 'error' THEN v END), 'null')::DOUBLE AS FirstError,
+          CAST(count(*) FILTER (event_type NOT IN ('view', 'click')) AS INTEGER) AS nOther FROM f GROUP BY user_id""",
     "entry_numbers": """SELECT user_id AS Entity, event_id AS EventId, event_type AS Name,
           row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS EntryNum FROM events""",
     "fill_down": """SELECT user_id AS Entity, event_id AS EventId,

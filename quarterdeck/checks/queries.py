@@ -240,7 +240,14 @@ QUERIES["landing_ident"] = _elements("identInfo")
 @query
 def landing_pivot(spark, sf):
     found = landing.parse_landing(views.landing_pages(spark, sf))
-    return found.withColumn("Other", F.element_at("Other", "LeadPart"))
+    pairs = F.transform(F.array_sort(F.map_entries("Other")), lambda p: F.concat(p["key"], F.lit("="), p["value"]))
+    return found.withColumn("Other", F.array_join(pairs, ";"))
+
+
+@query
+def attribute_pivot(spark, sf):
+    found = reshape.pivot_attributes(views.attributes(spark, sf), ["Entity"], ["view", "click"], F.struct("ts", "EventId"))
+    return found.select("Entity", F.col("view").alias("FirstView"), F.col("click").alias("FirstClick"), F.element_at("Other", "error").alias("FirstError"), F.size("Other").alias("nOther"))
 
 
 @query

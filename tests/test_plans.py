@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -169,6 +170,31 @@ def test_landing(spark):
     assert (rows["n", None].Error, rows["n", None].Message) == (1, "Error: No HTML Supplied")
 
 
+def test_landing_pages_are_shuffled_once(spark):
+    pages = spark.createDataFrame([("p", "<p>")], "HashIndex string, HTML string")
+    plan = landing.parse_landing(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_entries_take_over_what_came_before(spark):
+    """Against a plain loop: nulls leave known values, stand as unknown ones; of repeats the first counts."""
+    rng = random.Random(7)
+    rows = [("p%d" % rng.randrange(6), rng.choice([1, 2, 3, 5, 12]), rng.choice("ABXYZ"), rng.choice([None, "1", "2", "3"]), n) for n in range(400)]
+    table = spark.createDataFrame(rows, "HashIndex string, EntryNum int, Name string, Info string, at int")
+    wanted = {}
+    for page in {r[0] for r in rows}:
+        state = {}
+        for entry in sorted({r[1] for r in rows if r[0] == page}):
+            seen = set()
+            for _, _, name, info, _ in sorted((r for r in rows if r[:2] == (page, entry)), key=lambda r: r[4]):
+                if name not in seen and (info is not None or name not in "AB"):
+                    state[name] = info
+                seen.add(name)
+            wanted[page, entry] = dict(state)
+    found = landing.filled_entries(table, ["A", "B"]).collect()
+    assert {(r.HashIndex, r.EntryNum): r.held for r in found} == wanted and len(found) == len(wanted)
+
+
 def test_landing_elements_leave_each_other_alone(spark):
     """Control characters, and elements that leave a title or preformatted text open."""
     rest = "<div class=mailer>Mailing Address X</div><p class=identInfo>Type: <b>8-K</b></p>"
