@@ -43,17 +43,19 @@ def read_filings(spark, sf):
     ciks = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     padded = ciks.select(ids.pad_cik(F.col("c_custkey").cast("string")).alias("CIK"))
     path = shared_dir(spark, "filings")
-    views.filings(spark, sf).write.parquet(path)
-    return datasets.read_filings(spark, path, from_=1996.2, to=1999.3, ciks=padded, form_types=["1-URGENT", "3-MEDIUM"])
+    tables.write_partitioned(views.with_quarter(views.filings(spark, sf)), path, [tables.QUARTER])
+    found = datasets.read_filings(spark, path, from_=1996.2, to=1999.3, ciks=padded, form_types=["1-URGENT", "3-MEDIUM"])
+    return found.drop(tables.QUARTER)
 
 
 @query
 def read_links(spark, sf):
     path, index_path = shared_dir(spark, "links"), shared_dir(spark, "filings")
-    views.doc_links(spark, sf).write.parquet(path)
-    views.filings(spark, sf).write.parquet(index_path)
+    tables.write_partitioned(views.with_quarter(views.doc_links(spark, sf)), path, [tables.QUARTER])
+    tables.write_partitioned(views.with_quarter(views.filings(spark, sf)), index_path, [tables.QUARTER])
     wanted = _doc_types(spark, sf).filter(F.col("DocTypeMod") == "Type A").select("DocTypeRaw")
-    return datasets.read_links(spark, path, index_path, ["2-HIGH"], from_=1997.1, doc_types=wanted)
+    found = datasets.read_links(spark, path, index_path, ["2-HIGH"], from_=1997.1, doc_types=wanted)
+    return found.drop(tables.QUARTER)
 
 
 @query

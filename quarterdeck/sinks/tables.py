@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,9 +74,12 @@ def merge_new(
     keys: Sequence[str],
     order: Sequence[Column | str],
     by: str = QUARTER,
+    observed: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Merge rows into a table; of equal keys the existing row wins, then the first new one.
 
+    ``observed`` gets the rows that are added as they are written, to attach an ``Observation`` to them.
+
     Since existing rows never change, the merge is an append of the rows whose key is new. No quarter is rewritten, and
     a run repeated after a failure adds nothing twice. The new rows are staged, so that their quarters (as many
     as the calendar has) can be told, and of the table only these are read.
@@ -86,7 +89,7 @@ def merge_new(
     if existing is not None:
         rows = staged(rows, "merge")
         rows = not_done(rows, touched(existing, rows, by), [by, *keys])
-    write_partitioned(rows, path, [by])
+    write_partitioned(observed(balance(rows, [by])), path, [by], balanced=False)
 
 
 def touched(existing: DataFrame, rows: DataFrame, by: str = QUARTER) -> DataFrame:

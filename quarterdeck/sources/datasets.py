@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import only_ids
 from ..schemas import FIRST_PERIOD
+from ..sinks.tables import QUARTER
 
 
 def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -16,6 +17,18 @@ def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
+def _label(period: float) -> str:
+    """A period's bound as text that compares with quarter labels as the period does with their numbers."""
+    year = int(period)
+    return f"{year:04}-{round(10 * (period - year), 6):g}"
+
+
+def in_partitions(from_: float | None, to: float | None) -> Column:
+    """The quarter labels (partition values) of a period."""
+    low = F.col(QUARTER) >= F.lit(_label(FIRST_PERIOD if from_ is None else from_))
+    return low if to is None else low & (F.col(QUARTER) <= F.lit(_label(to)))
+
+
 def select_filings(
     filings: DataFrame,
     from_: float | None = None,
@@ -24,7 +37,12 @@ def select_filings(
     form_types: Sequence[str] | None = None,
     doc_types: DataFrame | None = None,
 ) -> DataFrame:
-    """Filter a filings or links table by period, filer, form type and raw document type."""
+    """Filter a filings or links table by period, filer, form type and raw document type.
+
+    A table that is partitioned by quarter is read in the quarters of the period only.
+    """
+    if QUARTER in filings.columns and (from_ is not None or to is not None):
+        filings = filings.filter(in_partitions(from_, to))
     if from_ is not None or to is not None:
         low = F.lit(FIRST_PERIOD if from_ is None else from_)
         period = F.col("YearQuarter") >= low

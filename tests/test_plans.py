@@ -7,7 +7,7 @@ from quarterdeck.checks import queries
 from quarterdeck.plans import documents, index, landing, links, periods
 from quarterdeck.schemas import DOC_LINKS, MASTER_INDEX
 from quarterdeck.sinks import tables
-from quarterdeck.sources import files, landed
+from quarterdeck.sources import datasets, files, landed
 from quarterdeck.streaming.ingest import ingest
 
 PREAMBLE = "".join(f"Line {i}\n" for i in range(8)) + "\n"
@@ -143,13 +143,58 @@ def test_build_links_and_queue(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in spark.read.parquet(out + "/Rejected").collect()] == [("h3", "Status Code (500)")]
     done = spark.read.parquet(out + "/Processed")
     assert {r.HashIndex for r in done.collect()} == {"h1", "h2"}
-    assert {r.HashIndex for r in spark.read.parquet(out + "/Pages").collect()} == {"h1", "h2"}
+    assert sorted(r.HashIndex for r in spark.read.parquet(out + "/Pages").collect()) == ["h1", "h2"]
+    details = {r.Message: r.Details for r in spark.read.option("header", True).csv(out + "/Log").collect()}
+    assert details["Extracted Links of Year-Quarter: 2020-1"] == "Rows: 2" and details["Start Extracting Links, Pages: 2"] == "NA"
     queue = links.work_queue(links.pending_filings(filings, done))
     assert sorted(queue.groupBy("Seq").count().collect()) == [(1, 10), (2, 10), (3, 3)]
     links.write_queue(queue, str(tmp_path / "queue"))
     assert spark.read.parquet(str(tmp_path / "queue")).filter("FormTypeSave = '10K'").count() == 23
 
 
+def test_periods_prune_partitions(spark, tmp_path):
+    path = str(tmp_path / "filings")
+    rows = [(f"h{y}{q}", "c", "10-K", y + q / 10, f"{y}-{q}") for y in (1999, 2000, 2001) for q in (1, 2, 3, 4)]
+    table = spark.createDataFrame(rows, "HashIndex string, CIK string, FormType string, YearQuarter double, YearQtr string")
+    tables.write_partitioned(table, path, ["YearQtr"])
+    cases = [(1999.3, 2001.1), (1999.0, 1999.45), (1999.15, 2000.3), (2000.4, None), (None, 1999.1), (2000, 2001), (2005.1, None)]
+    for low, high in cases:
+        found = datasets.read_filings(spark, path, from_=low, to=high)
+        wanted = {r[4] for r in rows if (low is None or r[3] >= low) and (high is None or r[3] <= high)}
+        assert {r.YearQtr for r in found.collect()} == wanted
+        # Whole partitions are left out before any file is opened.
+        assert len(found.inputFiles()) >= len(wanted)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(YearQtr" in plan
+        scanned = spark.read.parquet(path).filter(datasets.in_partitions(low, high)).select("YearQtr").distinct().count()
+        assert scanned == len(wanted)
+    # A table without the partition column is filtered by the number alone.
+    assert datasets.select_filings(table.drop("YearQtr"), from_=2000.1, to=2000.2).count() == 2
+
+
+def test_bodies_move_once(spark, tmp_path):
+    """Balanced as landed; above the staged table no exchange holds a body."""
+    rows = [("a", "c", 2020.1, "2020-1", "x", None, 200), ("a", "c", 2020.1, "2020-1", "x", None, 200), ("b", "c", 2020.1, "2020-1", "y", None, 200)]
+    landed = spark.createDataFrame(rows, "HashIndex string, CIK string, YearQuarter double, YearQtr string, HTML string, Error string, Status int")
+    cut, path = links.cut_table(landed), str(tmp_path / "Pages")
+    for expected in (["a", "b"], []):
+        pages = links.new_pages(spark, cut, path)
+        assert sorted(r.HashIndex for r in pages.collect()) == expected
+        plan = pages._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        tables.write_partitioned(pages, path, ["YearQtr"], balanced=False)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_pages_without_links_are_noted(spark, tmp_path):
+    filings = spark.createDataFrame([("h", "c", 2020.1)], "HashIndex string, CIK string, YearQuarter double")
+    responses = spark.createDataFrame([("h", "<div id=formDiv><table><tr><th>Seq</table></div>", None, 200)], "HashIndex string, HTML string, Error string, Status int")
+    for _ in range(2):
+        assert links.build_links(spark, filings, responses, str(tmp_path)).count() == 0
+    assert spark.read.parquet(f"{tmp_path}/Processed").count() == 1
+    assert spark.read.option("header", True).csv(f"{tmp_path}/Log").count() == 2  # its start, and the page without links
+
+
 def test_landing(spark):
     page = (
         "<div class='formGrouping'><div class='infoHead'>Filing Date</div><div class='info'>2020-01-01</div>"
