@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import staged
+from quarterdeck.llm.common import discard, staged
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     before = _signature(edges)
     while before[0]:
-        edges = staged(_round(edges), "links")
+        last, edges = edges, staged(_round(edges), "links")
+        discard(last)
         after = _signature(edges)
         if after == before:
             break

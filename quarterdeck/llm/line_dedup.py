@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import staged
+from quarterdeck.llm.common import ROW, staged, with_row_keys
 from quarterdeck.operators.stages import compute_once
 
 MIN_CHARS = 20
@@ -168,10 +168,13 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that go; n_chars, if there, follows the new text.
 
-    Documents stay, in the worst case with an empty text; untouched texts stay as they are, a null one too.
+    Documents stay, in the worst case with an empty text; untouched texts stay as they are, a null one too. Rows that share or lack
+    a doc_id are told apart (``with_row_keys``), so each loses its own lines only; an empty table gives an empty one.
     """
-    gone = line_dedup(docs).where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
-    out = compute_once(docs.join(gone, "doc_id", "left"), __pieces=F.split("text", "\n"))
+    keyed = with_row_keys(docs)
+    found = line_dedup(keyed.select(F.col(ROW).alias("doc_id"), "text")).where("not kept")
+    gone = found.groupBy(F.col("doc_id").alias(ROW)).agg(F.collect_set("line_no").alias("__gone"))
+    out = compute_once(keyed.join(gone, ROW, "left"), __pieces=F.split("text", "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("__pieces") - 1), "__gone")
     text = F.array_join(F.transform(left, lambda at: F.get("__pieces", at)), "\n")
     out = out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(text))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import staged
+from quarterdeck.llm.common import ROW, discard, staged, with_row_keys
 from quarterdeck.llm.components import components
 from quarterdeck.llm.spans import repeated_spans
 
@@ -239,7 +239,10 @@ def linked_paragraphs(docs: DataFrame, distinct: DataFrame, similarity: float =
     first = F.coalesce(*[F.when(F.col(f"a_{n}") == F.col(f"b_{n}"), F.lit(k)) for k, n in enumerate(_BAND_NAMES)])
     across = a.join(b, same & new & (first == F.col("a_band")) & _may_link(similarity)).select(F.col("a_code").alias("a"), F.col("b_code").alias("b"))
     more = staged(_verified(across, sets, similarity), "more-links")
-    return components(links.unionByName(more))
+    discard(members, sets, mixed, roots)
+    found = components(links.unionByName(more))
+    discard(links, more)
+    return found
 
 
 def _place(doc_id: Column, start: Column) -> Column:
@@ -268,7 +271,7 @@ def repeated_text(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     a smaller doc_id, make a span go.
     """
     units = staged(_repeated_units(docs, similarity), "repeated-units")
-    spans = staged(repeated_spans(_narrow(docs), units.where("not kept").select("doc_id", "start", "stop", "near")), "repeated-spans")
+    spans = repeated_spans(_narrow(docs), units.where("not kept").select("doc_id", "start", "stop", "near"))
     name = _component(F.col("keep_doc"), F.col("keep_start")).alias("component_id")
     later = spans.select("doc_id", F.lit("span").alias("level"), "start", "stop", name, F.lit(False).alias("kept"))
     earliest = spans.groupBy("keep_doc", "keep_start").agg(F.max("keep_stop").alias("stop"))
@@ -293,7 +296,10 @@ def _repeated_units(docs: DataFrame, similarity: float) -> DataFrame:
     groups = linked.unionByName(equal.join(linked.select("key"), "key", "left_anti")).withColumnRenamed("level", "group_level")
     names = found.select("doc_id", "level", "start", "stop", "key", place.alias("place"), _place(F.col("doc_id"), F.col("line_start")).alias("line"))
     rows = staged(names.join(groups, "key").drop("key"), "repeated-passages")
-    keep = staged(_keepers(rows), "kept-passages")
+    discard(found, keys, roots)
+    decided, keepers = _keepers(rows)
+    keep = staged(keepers, "kept-passages")
+    discard(decided)
 
     base = F.lit(2**31).cast("decimal(11,0)")
     doc = F.floor(F.col("keep") / base).cast("decimal(20,0)")
@@ -312,8 +318,8 @@ def _component(doc_id: Column, start: Column) -> Column:
     return F.concat_ws(":", doc_id.cast("string"), start.cast("int").cast("string"))
 
 
-def _keepers(rows: DataFrame) -> DataFrame:
-    """``(group, keep, stays)``: the earliest place of each group that lies in no paragraph that goes.
+def _keepers(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A staged table to discard, and ``(group, keep, stays)``: the earliest place of each group that lies in no paragraph that goes.
 
     Groups with paragraphs come first. A sentence may stand for such a group only if the paragraph around it is sure to
     stay, as the earliest place of its own group. Groups of sentences alone then choose among what is left; if all
@@ -332,7 +338,7 @@ def _keepers(rows: DataFrame) -> DataFrame:
 
     lowest = mixed.groupBy("group").agg(F.min("place").alias("keep"))
     decided = staged(best(mixed, lowest), "kept-paragraphs")
-    return decided.unionByName(best(rows.where(F.col("group_level") == SENTENCE), decided))
+    return decided, decided.unionByName(best(rows.where(F.col("group_level") == SENTENCE), decided))
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,10 +356,13 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the passages that aren't kept; n_chars, if there, follows the new text.
 
-    Documents stay, in the worst case with an empty text, and untouched ones stay as they are.
+    Documents stay, in the worst case with an empty text, and untouched ones stay as they are. Rows that share or lack a doc_id are told
+    apart (``with_row_keys``), so each loses its own passages only; an empty table gives an empty one.
     """
-    gone = repeated_text(docs).where("not kept").groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("__gone"))
-    joined = docs.join(gone, "doc_id", "left")
+    keyed = with_row_keys(docs)
+    found = repeated_text(keyed.select(F.col(ROW).alias("doc_id"), "text")).where("not kept")
+    gone = found.groupBy(F.col("doc_id").alias(ROW)).agg(F.collect_set(F.struct("start", "stop")).alias("__gone"))
+    joined = keyed.join(gone, ROW, "left")
     rest = [c for c in docs.columns if c != "text"]
     packed = joined.select(F.struct(*rest).alias("row"), F.col("text").cast("string").alias("text"), F.col("__gone").alias("gone"))
     kept = packed.select("row", "text", "gone").mapInArrow(_without, f"row {packed.schema['row'].dataType.simpleString()}, text string")

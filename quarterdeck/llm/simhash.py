@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import staged
+from quarterdeck.llm.common import ROW, staged, with_row_keys
 from quarterdeck.llm.components import components
 
 SEED = 42
@@ -93,9 +93,12 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents whose doc_id names their component: one of each group, with all columns of ``docs``.
+    """The first document of each component, by doc_id, with all columns of ``docs``.
 
-    Rows without doc_id can't be told apart and stay; rows that repeat a doc_id go if one of them does.
+    Rows that share or lack a doc_id are told apart and come last (``with_row_keys``): each stays or goes by its own text. Null and empty
+    texts are one component; an empty table gives an empty one.
     """
-    dropped = simhash_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    keyed = with_row_keys(docs)
+    found = simhash_components(keyed.select(F.col(ROW).alias("doc_id"), "text"))
+    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias(ROW))
+    return keyed.join(dropped, ROW, "left_anti").select(*docs.columns)

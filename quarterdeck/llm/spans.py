@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import staged
+from quarterdeck.llm.common import discard, staged
 
 SPAN_WORDS = 50  # words in a row that two documents must share
 PRINT_WORDS = 18
@@ -185,6 +185,9 @@ def repeated_spans(docs: DataFrame, gone: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy("at", "start")
     goes_on = (F.lag("at").over(order) == F.col("at") - 1) & (F.lag("keep_doc_id").over(order) == F.col("keep_doc_id")) & (F.lag("keep_at").over(order) == F.col("keep_at") - 1)
     runs = later.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
-    return runs.groupBy("doc_id", "run").agg(
+    found = runs.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("keep_doc_id").alias("keep_doc"), F.min("keep_start").alias("keep_start"), F.max("keep_stop").alias("keep_stop")
     ).drop("run")
+    found = staged(found, "repeated-spans")
+    discard(windows)
+    return found

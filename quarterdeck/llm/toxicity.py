@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import staged
+from quarterdeck.llm.common import ROW, staged, with_row_keys
 from quarterdeck.llm.units import gather
 
 MAX_TOXIC, MAX_CLEAN = 1500, 2500  # labelled rows that training may take, whole texts
@@ -263,7 +263,7 @@ def calibrate(model: Model, rows: DataFrame, fitted: tuple[int, int]) -> None:
 def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> tuple[Model, DataFrame]:
     """Train on a bounded sample of the labelled rows that are not held out, calibrate on all others of them.
 
-    Gives the model, and ``(doc_id, lang, p)`` of every row of ``docs``, scored once for calibration and result.
+    Gives the model, and ``(doc_id, lang, p, row)`` of every row of ``docs``, scored once for calibration and result.
 
     The sample is the rows with the smallest hashes of their doc_id. Rows without doc_id or label take no part; of
     a document labelled twice every row may be drawn.
@@ -273,12 +273,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     drawn = known.where("toxic > 0").orderBy("draw", "doc_id").limit(max_toxic).unionByName(known.where("toxic <= 0").orderBy("draw", "doc_id").limit(max_clean))
     # At most max_toxic + max_clean rows of two numbers: small enough to broadcast.
     drawn = staged(drawn.where(F.col("draw") % FOLDS != 0), "toxicity-sample")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col("lang").cast("string").alias("lang")] if "lang" in docs.columns else [F.lit(None).cast("string").alias("lang")]))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col("lang").cast("string").alias("lang")] if "lang" in docs.columns else [F.lit(None).cast("string").alias("lang")]), (F.col(ROW) if ROW in docs.columns else F.lit(None).cast("long")).alias("row"))
     fitting = texts.join(F.broadcast(drawn), "doc_id").orderBy("draw", "doc_id").limit(max_toxic + max_clean).select("text", "toxic").collect()
     toxic = np.array([int(r.toxic > 0) for r in fitting])
     model = train([r.text or "" for r in fitting], toxic)
     others = known.join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id", "left_anti")
-    scored = staged(texts.mapInArrow(_score(model), "doc_id long, lang string, p double"), "toxicity-scores")
+    scored = staged(texts.mapInArrow(_score(model), "doc_id long, lang string, p double, row long"), "toxicity-scores")
     rows = scored.join(others, "doc_id").select("lang", (F.col("toxic") > 0).cast("int").alias("toxic"), "p")
     calibrate(model, rows, (int(toxic.sum()), int(len(toxic) - toxic.sum())))
     return model, scored
@@ -298,8 +298,8 @@ def _score(model: Model):
             texts = batch.column(1).cast(pa.large_string())
             for part in _sliced(texts):
                 p = model.probabilities(words_of(texts.slice(*part)))
-                columns = [batch.column(0).slice(*part), batch.column(2).slice(*part), pa.array(p)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "p"])
+                columns = [batch.column(0).slice(*part), batch.column(2).slice(*part), pa.array(p), batch.column(3).slice(*part)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "p", "row"])
             pa.default_memory_pool().release_unused()
 
     return run
@@ -314,7 +314,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts get the score of a text without words. Rows may repeat or lack a doc_id (held_out false).
     Without usable labels of both kinds all scores are equal. Other columns are not read; lang may be missing.
     """
-    model, scored = fit(docs, labels)
+    return _judged(*fit(docs, labels)).drop("row")
+
+
+def _judged(model: Model, scored: DataFrame) -> DataFrame:
+    """The rows of ``toxicity``, with the number that ``with_row_keys`` gave, if it did."""
     p, cut = F.col("p"), F.lit(model.cut)
     above = 0.5 + 0.5 * (p - cut) / F.lit(max(1 - model.cut, 1e-12))
     scored = scored.withColumn("score", F.least(F.greatest(F.when(p < cut, 0.5 * p / cut).otherwise(above), F.lit(0.0)), F.lit(1.0)))
@@ -322,6 +326,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for name, value in model.thresholds.items():
         threshold = F.when(F.col("lang") == name, F.lit(value)).otherwise(threshold)
     return scored.select(
+        "row",
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
         "score",
@@ -332,6 +337,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without rejected documents, with all columns. Rows without doc_id can't be told apart and stay."""
-    rejected = toxicity(docs, labels).where("rejected = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without rejected documents, with all columns.
+
+    Rows that share or lack a doc_id are told apart (``with_row_keys``) and judged each by its own text; an empty table gives an empty one.
+    """
+    keyed = with_row_keys(docs)
+    rejected = _judged(*fit(keyed, labels)).where("rejected = 1").select(F.col("row").alias(ROW))
+    return keyed.join(rejected, ROW, "left_anti").select(*docs.columns)

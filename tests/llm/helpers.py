@@ -34,6 +34,26 @@ def documents(spark, rows, clash=False):
     return docs
 
 
+def own_keys(rows):
+    """The rows, with a number after all ids in place of an id that is shared or missing, and the rows' own ids."""
+    ids = [d for d, _ in rows]
+    top = max((d for d in ids if d is not None), default=0) + 1
+    keyed = [(d if d is not None and ids.count(d) == 1 else top + k, t) for k, (d, t) in enumerate(rows)]
+    return keyed, ids
+
+
+#: Different texts under one id and under none, each with something said before and something of its own.
+SAID = "This line of ten words is said by everyone here."
+SHARED_IDS = [
+    (1, SAID),
+    (7, SAID + "\nThe first row of number seven has this line to itself."),
+    (7, "UNIQUE unrepeated line of the other row, which has twelve words here.\nlast line"),
+    (None, SAID),
+    (None, "a text without an id that nobody else has written down so far"),
+    (8, "the row under eight says what was never said before it"),
+]
+
+
 def prose(seed, documents, words=60, vocabulary=400):
     """Random sentences in lines, as ``(doc_id, text)``."""
     rng = random.Random(seed)

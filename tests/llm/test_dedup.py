@@ -6,11 +6,12 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from quarterdeck.llm.common import ROW, discard, freeing, staged, with_row_keys
 from quarterdeck.llm.components import components
 from quarterdeck.llm.exact_dedup import exact_dedup
 from quarterdeck.llm.line_dedup import MIN_CHARS, drop_repeated_lines, line_dedup
 from quarterdeck.llm.simhash import close_pairs, fingerprint, keep_one, simhash_components
-from tests.llm.helpers import AWKWARD, LONG, documents, groups_of, prose, tuples
+from tests.llm.helpers import AWKWARD, LONG, SAID, SHARED_IDS, documents, groups_of, own_keys, prose, tuples
 
 
 def test_components_of_chains_stars_and_loops(spark):
@@ -110,12 +111,13 @@ def test_drop_repeated_lines_keeps_documents_and_columns(spark):
     docs = documents(spark, rows, clash=True).withColumn("n_chars", F.char_length("text").cast("long"))
     out = drop_repeated_lines(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
-    gone = {(d, k) for d, k, _, _, kept in line_brute(rows) if not kept and d is not None}
+    keyed, ids = own_keys(rows)
+    gone = {(d, k) for d, k, _, _, kept in line_brute(keyed) if not kept}
     wanted = []
-    for d, t in rows:
+    for own, (d, t) in zip(ids, keyed):
         pieces = (t or "").split("\n")
         left = "\n".join(s for k, s in enumerate(pieces) if (d, k) not in gone)
-        wanted.append((d, t if t is None or not any((d, k) in gone for k in range(len(pieces))) else left))
+        wanted.append((own, t if t is None or not any((d, k) in gone for k in range(len(pieces))) else left))
     assert tuples(out, "doc_id", "text") == sorted(wanted, key=repr)
     assert out.where("n_chars <> char_length(text)").count() == 0
 
@@ -158,8 +160,15 @@ def test_simhash_components_are_brute_force(spark):
     assert tuples(simhash_components(docs), "doc_id", "fingerprint", "component_id") == wanted
     kept = keep_one(docs)
     assert kept.columns == docs.columns
-    gone = {d for d, _, c in wanted if d is not None and d != c}
-    assert tuples(kept, "doc_id", "text") == sorted(((d, t) for d, t in rows if d not in gone), key=repr)
+    # Of each component the row with the smallest id stays; rows that share or lack one come after all others.
+    keyed, ids = own_keys(rows)
+    of_id = {(d, f): c for d, f, c in wanted}
+    best, stays = {}, []
+    for own, (key, t) in zip(ids, keyed):
+        root = of_id[own, f"{fingerprint_brute(t):016x}"]
+        if root not in best or key < best[root][0]:
+            best[root] = (key, own, t)
+    assert tuples(kept, "doc_id", "text") == sorted(((own, t) for _, own, t in best.values()), key=repr)
     assert simhash_components(documents(spark, [])).count() == 0
 
 
@@ -178,3 +187,39 @@ def test_close_pairs_at_every_distance(spark):
     found = tuples(close_pairs(spark.createDataFrame([(c,) for c in signed], "code long")), "a", "b")
     mask = (1 << 64) - 1
     assert found == sorted(((a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3), key=repr)
+
+
+def test_rows_that_share_an_id_lose_their_own_text_only(spark):
+    docs = documents(spark, SHARED_IDS, clash=True)
+    rows = [t for _, t in SHARED_IDS]
+    lines = tuples(drop_repeated_lines(docs), "doc_id", "text")
+    assert lines == sorted([(1, SAID), (7, rows[1].split("\n")[1]), (7, rows[2]), (None, ""), (None, rows[4]), (8, rows[5])], key=repr)
+    # The copy without an id goes, the other rows of 7 and of none stay.
+    assert tuples(keep_one(docs), "doc_id", "text") == sorted([r for k, r in enumerate(SHARED_IDS) if k != 3], key=repr)
+    for stage in (drop_repeated_lines, keep_one):
+        left = stage(docs.where("false"))
+        assert left.count() == 0 and left.columns == docs.columns
+
+
+def test_row_keys_are_one_rows_alone(spark):
+    keyed = with_row_keys(documents(spark, SHARED_IDS)).collect()
+    keys = [r[ROW] for r in keyed]
+    assert len(set(keys)) == len(keys) and all(r[ROW] == r.doc_id for r in keyed if r.doc_id in (1, 8))
+    assert all(r[ROW] > 8 for r in keyed if r.doc_id in (7, None))
+    assert {r[ROW] for r in with_row_keys(documents(spark, [(5, "a"), (-3, None)])).collect()} == {5, -3}
+
+
+def test_staged_tables_are_freed(spark):
+    """A stage deletes what the one before it left, but not what its own input or anyone else still reads."""
+    seen, other = [], staged(spark.range(3), "other")
+    first = freeing(lambda s, docs, d: seen.append(staged(docs, "kept")) or seen[-1])
+    second = freeing(lambda s, docs, d: docs)
+    mine = first(spark, spark.range(5), "")
+    assert second(spark, mine, "").count() == 5 and other.count() == 3
+    second(spark, other, "")
+    with pytest.raises(Exception):
+        spark.read.schema(mine.schema).parquet(mine.inputFiles()[0].rsplit("/", 1)[0]).count()
+    assert other.count() == 3
+    discard(other)
+    with pytest.raises(Exception):
+        other.count()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarterdeck.llm import paragraphs
-from tests.llm.helpers import AWKWARD, documents, groups_of, prose, tuples
+from tests.llm.helpers import AWKWARD, SAID, SHARED_IDS, documents, groups_of, prose, tuples
 
 
 def repeats(seed):
@@ -187,3 +187,12 @@ def test_pipeline_stages_work_on_what_is_left(spark, tmp_path):
     assert {r.doc_id for r in whole.collect()} == {r.doc_id for r in left.collect()}
     assert whole.agg(F.sum("length")).first() == packed.agg(F.sum("length")).first()
     assert set(columns) < set(whole.columns)
+
+
+def test_rows_that_share_an_id_lose_their_own_passages_only(spark):
+    docs = documents(spark, SHARED_IDS, clash=True)
+    rows = [t for _, t in SHARED_IDS]
+    left = tuples(paragraphs.drop_repeats(docs), "doc_id", "text")
+    assert left == sorted([(1, SAID), (7, rows[1].replace(SAID, "")), (7, rows[2]), (None, ""), (None, rows[4]), (8, rows[5])], key=repr)
+    for stage in (paragraphs.drop_repeats, paragraphs.repeated_text):
+        assert stage(docs.where("false")).count() == 0
