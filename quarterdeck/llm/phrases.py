@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quarterdeck.llm.common import staged
 
 WINDOW = 10  # words of a phrase
-SHARD_BYTES = 4 << 20  # of text in a shard, or one longer text
+SHARD_BYTES = 2 << 20  # of text in a shard, or one longer text
 BLOCK_WORDS = 1 << 18  # of test items handled at once
 _PART_WORDS = 1 << 14  # of one test item; longer items are cut into parts that overlap
 
@@ -101,6 +101,7 @@ def _index(shard_bytes: int):
                     joined = pa.Table.from_batches(held).combine_chunks()
                     yield shard(joined.column(0).combine_chunks(), joined.column(1).combine_chunks())
                     held, size = [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             joined = pa.Table.from_batches(held).combine_chunks()
             yield shard(joined.column(0).combine_chunks(), joined.column(1).combine_chunks())
