@@ -3,8 +3,12 @@
 Two texts share ``SPAN_WORDS`` words in a row if a window of so many words is equal. To hash every window of the corpus
 would cost a row per word, so windows are narrowed first: each names the smallest hash among the runs of ``PRINT_WORDS``
 words inside it (winnowing), which depends on its words alone. Equal windows name the same one, hence a window whose
-smallest hash is in no other document has no copy. In scripts without blanks each character counts as a word. The rest are grouped by two hashes of all their words, and windows
-in a row with the same earlier document and distance are one span.
+smallest hash is in no other document has no copy. In scripts without blanks each character counts as a word.
+
+Windows in a row that name the same print are one stretch, one row in place of some seventeen. Stretches of equal words are
+grouped first: all but the earliest of a group are spans as they stand. Of the others, which begin or end where
+texts part, only those whose print an open stretch of another document names are taken apart into windows, and these are grouped by
+print and hash. The earliest place of a window is never in a stretch that an earlier document has whole, so none is lost.
 """
 
 from __future__ import annotations
@@ -27,11 +31,13 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 _BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
-_WINDOW = "doc_id long, at int, start int, stop int, near boolean, hash long, check long"
-_WINDOW_SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("at", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("near", pa.bool_()), ("hash", pa.int64()), ("check", pa.int64())]
-)
-_BATCH_ROWS = 50_000
+_PLACE_TYPES = [("doc_id", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("near", pa.bool_())]
+_PLACE = "doc_id long, at int, n int, start int, stop int, near boolean"
+_STRETCH = f"{_PLACE}, print long, hash long, check long, hashes array<long>, starts array<int>, stops array<int>"
+_STRETCH_TYPES = _PLACE_TYPES + [("print", pa.int64()), ("hash", pa.int64()), ("check", pa.int64())]
+_WINDOW = f"{_PLACE}, print long, hash long"
+_STRETCH_WINDOWS = 4096  # a longer stretch, of a text that repeats itself, is cut
+_BATCH_WINDOWS = 200_000
 
 
 @cache
@@ -83,8 +89,17 @@ def _grams(words: np.ndarray, size: int, base: int) -> np.ndarray:
     return _rolling(words, at, at + size, base)
 
 
+def _smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of each ``width`` values in a row, from the smallest of half as many."""
+    if width == 1:
+        return values
+    half = (width + 1) // 2
+    least = _smallest(values, half)
+    return np.minimum(least[: len(least) - (width - half)], least[width - half :])
+
+
 class _Text:
-    """Word hashes of a text, and for each of its windows the run of words with the smallest hash."""
+    """Word hashes of a text, and for each of its windows the smallest hash of a run of words."""
 
     def __init__(self, text: str):
         self.raw = np.frombuffer(text.encode().lower(), dtype=np.uint8)
@@ -93,8 +108,15 @@ class _Text:
         if self.windows:
             self.words = _rolling(_BYTES[self.raw], self.starts, self.ends, _BASES[0])
             runs = _grams(self.words, PRINT_WORDS, _BASES[1])
-            beside = np.lib.stride_tricks.sliding_window_view(runs, SPAN_WORDS - PRINT_WORDS + 1)
-            self.prints = runs[np.arange(self.windows) + beside.argmin(axis=1)].view(np.int64)
+            self.prints = _smallest(runs, SPAN_WORDS - PRINT_WORDS + 1).view(np.int64)
+
+    def hashes(self, at: np.ndarray, behind: np.ndarray) -> np.ndarray:
+        return _rolling(self.words, at, behind, _BASES[0]).view(np.int64)
+
+    def checks(self, at: np.ndarray, behind: np.ndarray) -> np.ndarray:
+        """Further hashes of words in a row, from other hashes of the words themselves."""
+        words = _rolling(_BYTES[::-1][self.raw], self.starts, self.ends, _BASES[1])
+        return _rolling(words, at, behind, _BASES[1]).view(np.int64)
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,34 +146,53 @@ def _covered(places: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.cumsum(inside)[:-1] > 0)])
 
 
-def _windows(bitmap: bytes):
+def _spot(places: np.ndarray) -> np.ndarray:
+    """A bit for each (doc_id, at), given as one number."""
+    mixed = (places.astype(np.uint64) ^ places.astype(np.uint64) >> np.uint64(31)) * _PRIME
+    return (mixed >> np.uint64(38)).astype(np.int64)
+
+
+def _has(bits: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    return bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 > 0
+
+
+def _place_number(doc_id: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return doc_id.astype(np.int64) * np.int64(0x2545F4914F6CDD1D) + at
+
+
+def _stretches(bitmap: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap, dtype=np.uint8)
         for batch in batches:
-            columns, rows = [], 0
+            columns, windows = [], 0
             for doc_id, text, gone in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 own = _Text(text.as_py() or "")
                 if not own.windows:
                     continue
-                spot = own.prints & (_BITMAP_BITS - 1)
-                may = bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 > 0
+                may = _has(bits, own.prints & (_BITMAP_BITS - 1))
                 if not may.any():
                     continue
                 chars = np.cumsum((own.raw & 0xC0) != 0x80)
                 starts, stops = chars[own.starts] - 1, chars[own.ends - 1]
                 spans = gone.as_py() or []
                 going = _covered(starts, [(g["start"], g["stop"]) for g in spans])
-                near = _covered(starts, [(g["start"], g["stop"]) for g in spans if g["near"]])
                 may &= going[SPAN_WORDS:] - going[:-SPAN_WORDS] < SPAN_WORDS
                 at = np.flatnonzero(may)
                 if not len(at):
                     continue
-                hashes = [_rolling(own.words, at, at + SPAN_WORDS, b).view(np.int64) for b in _BASES]
-                columns.append([np.full(len(at), doc_id), at, starts[at], stops[at + SPAN_WORDS - 1], near[at + SPAN_WORDS] > near[at], *hashes])
-                rows += len(at)
-                if rows >= _BATCH_ROWS:
+                near = _covered(starts, [(g["start"], g["stop"]) for g in spans if g["near"]])
+                near, prints = near[at + SPAN_WORDS] > near[at], own.prints[at]
+                parts = (np.diff(at) > 1) | (np.diff(prints) != 0) | (near[1:] != near[:-1]) | (at[1:] % _STRETCH_WINDOWS == 0)
+                first = np.flatnonzero(np.append(True, parts))
+                n = np.diff(first, append=len(at))
+                low, behind = at[first], at[first] + n + SPAN_WORDS - 1
+                places = [np.full(len(n), doc_id), low, n, starts[low], stops[behind - 1], near[first], prints[first]]
+                each = [own.hashes(at, at + SPAN_WORDS), starts[at], stops[at + SPAN_WORDS - 1]]
+                columns.append([*places, own.hashes(low, behind), own.checks(low, behind), *each])
+                windows += len(at)
+                if windows >= _BATCH_WINDOWS:
                     yield _joined(columns)
-                    columns, rows = [], 0
+                    columns, windows = [], 0
             if columns:
                 yield _joined(columns)
 
@@ -159,7 +200,59 @@ def _windows(bitmap: bytes):
 
 
 def _joined(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*columns), _WINDOW_SCHEMA.types)], schema=_WINDOW_SCHEMA)
+    whole = [np.concatenate(c) for c in zip(*columns)]
+    arrays = [pa.array(c, t) for c, (_, t) in zip(whole, _STRETCH_TYPES)]
+    offsets = pa.array(np.append(0, np.cumsum(whole[2])), pa.int32())
+    for values, kind in zip(whole[len(arrays) :], (pa.int64(), pa.int32(), pa.int32())):
+        arrays.append(pa.ListArray.from_arrays(offsets, pa.array(values, kind)))
+    return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in _STRETCH.split(", ")])
+
+
+def _apart(bitmap: bytes):
+    """The windows of the stretches that the bitmap names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(bitmap, dtype=np.uint8)
+        for batch in batches:
+            places = _place_number(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            batch = batch.filter(pa.array(_has(bits, _spot(places))))
+            doc_id, at, n, near, prints = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+            hashes, starts, stops = (batch.column(k).flatten() for k in range(5, 8))
+            total = int(n.sum())
+            step = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
+            rows = [np.repeat(doc_id, n), np.repeat(at, n) + step, np.ones(total), starts, stops, np.repeat(near, n)]
+            arrays = [pa.array(c, t) for c, (_, t) in zip(rows, _PLACE_TYPES)] + [pa.array(np.repeat(prints, n), pa.int64()), hashes]
+            yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in _WINDOW.split(", ")])
+
+    return run
+
+
+def _mark_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spots() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = _place_number(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(_spot(places))], names=["spot"])
+
+    return _mark(spots())
+
+
+def _gathered(marks: DataFrame) -> bytes:
+    bitmap = np.zeros(_BITMAP_BITS // 8, dtype=np.uint8)
+    for row in marks.toLocalIterator():
+        bitmap |= np.frombuffer(row.bits, dtype=np.uint8)
+    return bitmap.tobytes()
+
+
+def _with_keepers(places: DataFrame, *key: str, how: str) -> DataFrame:
+    """``places`` of equal words with ``keep``, the earliest of their ``key`` that isn't near, where that is another document's."""
+    keep = F.min(F.when(~F.col("near"), F.struct("doc_id", "at", "start", "stop"))).alias("keep")
+    keys = places.groupBy(*key).agg(keep, F.max("doc_id").alias("last")).where("last > keep.doc_id").drop("last")
+    return places.join(keys, list(key), how)
+
+
+def _later(kept: DataFrame) -> DataFrame:
+    later = kept.where("doc_id > keep.doc_id")
+    return later.select("doc_id", "at", "n", "start", "stop", *[F.col(f"keep.{c}").alias(f"keep_{c}") for c in ("doc_id", "at", "start", "stop")])
 
 
 def repeated_spans(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -170,24 +263,27 @@ def repeated_spans(docs: DataFrame, gone: DataFrame) -> DataFrame:
     ``SPAN_WORDS`` that also stands in a document with a smaller doc_id lies in a span.
     """
     shared = docs.select("text").mapInArrow(_prints, "print long").groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("print")
-    bitmap = np.zeros(_BITMAP_BITS // 8, dtype=np.uint8)
-    for row in shared.coalesce(_BITMAP_PARTS).mapInArrow(_mark, "bits binary").toLocalIterator():
-        bitmap |= np.frombuffer(row.bits, dtype=np.uint8)
+    bitmap = _gathered(shared.repartition(_BITMAP_PARTS).mapInArrow(_mark, "bits binary"))
 
     spans = gone.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "near")).alias("gone"))
     texts = docs.join(spans, "doc_id", "left").select("doc_id", "text", "gone")
-    windows = staged(texts.mapInArrow(_windows(bitmap.tobytes()), _WINDOW), "span-windows")
-    keep = F.min(F.when(~F.col("near"), F.struct("doc_id", "at", "start", "stop"))).alias("keep")
-    keys = windows.groupBy("hash", "check").agg(keep, F.max("doc_id").alias("last")).where("last > keep.doc_id").select("hash", "check", "keep")
-    later = windows.join(keys, ["hash", "check"]).where("doc_id > keep.doc_id")
-    later = later.select("doc_id", "at", "start", "stop", *[F.col(f"keep.{c}").alias(f"keep_{c}") for c in ("doc_id", "at", "start", "stop")])
+    stretches = staged(texts.mapInArrow(_stretches(bitmap), _STRETCH), "span-stretches")
+    whole = staged(_with_keepers(stretches.drop("hashes", "starts", "stops"), "hash", "check", how="left"), "whole-stretches")
+
+    left = whole.where("keep IS NULL OR doc_id <= keep.doc_id")
+    open_prints = left.groupBy("print").agg(F.min(F.when(~F.col("near"), F.col("doc_id"))).alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    places = left.join(open_prints.select("print"), "print").select("doc_id", "at")
+    apart = _apart(_gathered(places.repartition(_BITMAP_PARTS).mapInArrow(_mark_places, "bits binary")))
+    windows = stretches.select("doc_id", "at", "n", "near", "print", "hashes", "starts", "stops").mapInArrow(apart, _WINDOW)
+    later = _later(whole).unionByName(_later(_with_keepers(windows, "print", "hash", how="inner")))
 
     order = Window.partitionBy("doc_id").orderBy("at", "start")
-    goes_on = (F.lag("at").over(order) == F.col("at") - 1) & (F.lag("keep_doc_id").over(order) == F.col("keep_doc_id")) & (F.lag("keep_at").over(order) == F.col("keep_at") - 1)
+    goes_on = (F.lag(F.col("at") + F.col("n")).over(order) == F.col("at")) & (F.lag("keep_doc_id").over(order) == F.col("keep_doc_id"))
+    goes_on &= F.lag(F.col("keep_at") + F.col("n")).over(order) == F.col("keep_at")
     runs = later.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
     found = runs.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("keep_doc_id").alias("keep_doc"), F.min("keep_start").alias("keep_start"), F.max("keep_stop").alias("keep_stop")
     ).drop("run")
     found = staged(found, "repeated-spans")
-    discard(windows)
+    discard(stretches, whole)
     return found
