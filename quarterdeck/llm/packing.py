@@ -2,7 +2,7 @@
 
 Stretches of a document that fill a window are windows of their own. What remains of each document is routed by its
 commonest token and a min-hash of its token triples, so that related remainders lie side by side, and cut into index shards.
-A shard's inverted index holds all its remainders; idf and the mean length come from the whole corpus. Each seed, the
+A shard's inverted index holds all its remainders and is asked with all terms of a seed; idf and the mean length come from the whole corpus. Each seed, the
 first unused remainder, asks the index for its unused neighbours, which fill the window in order of score; the last
 one is cut to fit and the rest of it stays unused. When a shard is used up, its open window goes on with the next
 one, and a partition's last window is cut at powers of two, so no window is padded.
@@ -20,13 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import staged
-from quarterdeck.llm.units import UnitEncoder, encoder
+from quarterdeck.llm.units import UnitEncoder, encoder, gather
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
 END_ID = 1
 SHARD_DOCS = 1024  # remainders of one index shard
-QUERY_TERMS = 32  # a seed asks with its most telling terms
 _K1, _B = 1.2, 0.75  # the usual constants of BM25
 _SUMS = 16  # partial sums of the corpus counts, each one number per id of the vocabulary
 
@@ -114,11 +113,11 @@ class _Index:
         self.weights = idf[terms] * counts * (_K1 + 1) / (counts + _K1 * (1 - _B + _B * sizes[self.docs] / mean))
 
     def scores(self, seed: np.ndarray) -> np.ndarray:
-        terms, counts = np.unique(seed, return_counts=True)
-        telling = self.idf[terms] * counts / (counts + _K1)
-        terms = terms[np.argsort(-telling, kind="stable")[:QUERY_TERMS]]
-        places = np.concatenate([np.arange(self.begins[t], self.begins[t + 1]) for t in terms])
-        return np.bincount(self.docs[places], weights=self.weights[places], minlength=self.size)
+        """The score of every remainder for all terms of the seed, each asked once."""
+        terms = np.unique(seed)
+        begins = self.begins[terms]
+        lengths = self.begins[terms.astype(np.int64) + 1] - begins
+        return np.bincount(gather(self.docs, begins, lengths), weights=gather(self.weights, begins, lengths), minlength=self.size)
 
 
 class _Packer:

@@ -143,3 +143,19 @@ def test_packing_puts_related_texts_together(spark):
     packer.finish()
     first = {r[0] for r in packer.rows if r[5] == packer.rows[0][5]}
     assert first == {0, 2, 4, 6}
+
+
+def test_index_scores_are_brute_force_bm25():
+    """All terms of a seed, however many, over all remainders of the shard."""
+    rng = np.random.default_rng(3)
+    rests = [rng.integers(0, 300, n).astype(np.uint16) for n in (1, 7, 400, 90, 90, 250, 30)]
+    seen = np.bincount(np.concatenate([np.unique(r) for r in rests]), minlength=300)
+    idf, mean = np.log1p((len(rests) - seen + 0.5) / (seen + 0.5)), sum(map(len, rests)) / len(rests)
+    index = packing._Index(rests, idf, mean)
+    for seed in [*rests, np.array([299, 299, 0], dtype=np.uint16)]:
+        wanted = []
+        for rest in rests:
+            own = rest.tolist()
+            norm = 1.2 * (1 - 0.75 + 0.75 * len(own) / mean)
+            wanted.append(sum(idf[t] * own.count(t) * 2.2 / (own.count(t) + norm) for t in set(seed.tolist())))
+        assert np.allclose(index.scores(seed), wanted)
