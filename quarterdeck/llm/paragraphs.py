@@ -79,18 +79,25 @@ def passages(text: str) -> Iterator[tuple[int, int, int, list[bytes]]]:
         at += len(line) + 1
 
 
-def _shingles(words: list[bytes]) -> list[bytes]:
-    return [b" ".join(s) for s in zip(*(words[k:] for k in range(SHINGLE_WORDS)))]
+def _shingle_hashes(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all paragraphs, from one hash of each word, and each paragraph's number of them."""
+    digest = xxhash.xxh64_intdigest
+    words = np.fromiter((digest(w) for own in paragraphs for w in own), dtype=np.uint64)
+    sizes = np.array([len(own) for own in paragraphs])
+    hashes = np.zeros(len(words) - SHINGLE_WORDS + 1, dtype=np.uint64)
+    for k in range(SHINGLE_WORDS):
+        hashes = hashes * _PRIME_BITS + words[k : k + len(hashes)]
+    hashes = (hashes ^ hashes >> np.uint64(32)) * _PRIME_BITS
+    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    whole = place + SHINGLE_WORDS <= np.repeat(sizes, sizes)
+    return hashes[whole[: len(hashes)]], sizes - SHINGLE_WORDS + 1
 
 
 def band_hashes(paragraphs: list[list[bytes]]) -> np.ndarray:
     """(paragraphs, BANDS): the hash of each band's min-hashes."""
     if not paragraphs:
         return np.zeros((0, BANDS), dtype=np.int64)
-    digest = xxhash.xxh64_intdigest
-    hashes = [[digest(s) for s in _shingles(words)] for words in paragraphs]
-    flat = np.array([h for own in hashes for h in own], dtype=np.uint64)
-    sizes = np.array([len(h) for h in hashes])
+    flat, sizes = _shingle_hashes(paragraphs)
     starts = np.cumsum(sizes) - sizes
     bands = np.zeros((len(paragraphs), BANDS), dtype=np.uint64)
     for k in range(BANDS * ROWS):
@@ -157,7 +164,7 @@ def sketch(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     Each hash flips one of ``SKETCH_BITS`` bits, so two sketches differ in no more bits than the sets do in members.
     """
-    hashes = np.unique(np.array([xxhash.xxh64_intdigest(s) for s in _shingles(words)], dtype=np.uint64))
+    hashes = np.unique(_shingle_hashes([words])[0])
     odd = np.bincount((hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
     return hashes.view(np.int64), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -239,9 +246,10 @@ def linked_paragraphs(docs: DataFrame, distinct: DataFrame, similarity: float =
     first = F.coalesce(*[F.when(F.col(f"a_{n}") == F.col(f"b_{n}"), F.lit(k)) for k, n in enumerate(_BAND_NAMES)])
     across = a.join(b, same & new & (first == F.col("a_band")) & _may_link(similarity)).select(F.col("a_code").alias("a"), F.col("b_code").alias("b"))
     more = staged(_verified(across, sets, similarity), "more-links")
-    discard(members, sets, mixed, roots)
-    found = components(links.unionByName(more))
-    discard(links, more)
+    discard(members, sets, mixed, links)
+    # Components are stars by now; only what the new links join has to move.
+    found = components(roots.select(F.col("code").alias("a"), F.col("root").alias("b")).unionByName(more))
+    discard(roots, more)
     return found
 
 
