@@ -53,7 +53,8 @@ def read_links(spark, sf):
     path, index_path = shared_dir(spark, "links"), shared_dir(spark, "filings")
     tables.write_partitioned(views.with_quarter(views.doc_links(spark, sf)), path, [tables.QUARTER])
     tables.write_partitioned(views.with_quarter(views.filings(spark, sf)), index_path, [tables.QUARTER])
-    wanted = _doc_types(spark, sf).filter(F.col("DocTypeMod") == "Type A").select("DocTypeRaw")
+    # Types are counted over the links as written, so they are made once.
+    wanted = _doc_types(spark, sf, datasets.read_table(spark, path)).filter(F.col("DocTypeMod") == "Type A").select("DocTypeRaw")
     found = datasets.read_links(spark, path, index_path, ["2-HIGH"], from_=1997.1, doc_types=wanted)
     return found.drop(tables.QUARTER)
 
@@ -283,21 +284,28 @@ def _saved_lookups(spark, sf, found):
     return {name: spark.read.parquet(f"{path}/{name}") for name in lookups.SAVED}
 
 
-def _doc_types(spark, sf):
-    return _saved_lookups(spark, sf, views.doc_links(spark, sf))["doc_types_raw"].filter("nHit > 0")
+def _doc_types(spark, sf, found=None):
+    return _saved_lookups(spark, sf, views.doc_links(spark, sf) if found is None else found)["doc_types_raw"].filter("nHit > 0")
+
+
+def _staged_links(spark, sf, *keep):
+    """The columns of the links that documents are chosen by, as jobs find them: a table, made once for all steps that read it."""
+    return staged(views.doc_links(spark, sf, keep).select("DocID", "YearQuarter", "Type", "Description", "UrlDocument", *keep), "links")
 
 
 @query
 def docs_by_type(spark, sf):
-    wanted = views.doc_links(spark, sf, ("LineStatus",)).filter(F.col("LineStatus") == "F").select("DocID").distinct()
-    return documents.docs_by_type(views.doc_links(spark, sf), _doc_types(spark, sf), wanted)
+    found = _staged_links(spark, sf, "LineStatus")
+    wanted = found.filter(F.col("LineStatus") == "F").select("DocID").distinct()
+    return documents.docs_by_type(found.drop("LineStatus"), _doc_types(spark, sf, found), wanted)
 
 
 def _pending_documents(spark, sf):
-    known = _doc_types(spark, sf)
-    found = documents.docs_by_type(views.doc_links(spark, sf, ()), known)
+    links_ = _staged_links(spark, sf)
+    known = _doc_types(spark, sf, links_)
+    found = documents.docs_by_type(links_, known)
     done = found.filter(F.col("DocExt") == "xml").select("TypeSave", "YQSave", "DocID")
-    return documents.pending_documents(views.doc_links(spark, sf), known, done)
+    return documents.pending_documents(links_, known, done)
 
 
 @query
