@@ -322,9 +322,8 @@ def nest_documents(spark, sf):
 
 @query
 def group_progress(spark, sf):
-    return documents.group_progress(_pending_documents(spark, sf)).select(
-        "TypeSave", "YQSave", "DocID", "nRow", "nAll", "Print"
-    )
+    docs = _pending_documents(spark, sf).select("TypeSave", "YQSave", "DocID")
+    return documents.group_progress(docs).select("TypeSave", "YQSave", "DocID", "nRow", "nAll", "Print")
 
 
 @query

@@ -71,9 +71,12 @@ def _digest_part(doc_id: str = "DocID"):
 
 
 def group_progress(docs: DataFrame, digits: int = 3) -> DataFrame:
-    """Position and size of each document's group, and the line to report it with; ``digits`` as in ``hash_bucket``."""
+    """Position and size of each document's group, and the line to report it with; ``digits`` as in ``hash_bucket``.
+
+    The documents are staged: buckets are counted before rows are numbered, and each would find them anew.
+    """
     order = [_digest_part(), F.col("DocID")]
-    counted = number_rows(docs, GROUP, order, hash_bucket(_digest_part(), digits), "nRow", "nAll")
+    counted = number_rows(staged(docs, "numbered"), GROUP, order, hash_bucket(_digest_part(), digits), "nRow", "nAll")
     # Counters with thousands separators.
     row, total = (F.format_number(c, 0) for c in ("nRow", "nAll"))
     shown = F.concat(F.col("TypeSave"), F.lit(": "), F.col("YQSave"), F.lit(" ("), row, F.lit("/"), total, F.lit(")"))
@@ -81,9 +84,9 @@ def group_progress(docs: DataFrame, digits: int = 3) -> DataFrame:
 
 
 def nest_documents(docs: DataFrame, columns: Sequence[str] = ("DocID", "UrlDocument"), chunk_rows: int = 1000, digits: int = 3) -> DataFrame:
-    """Documents nested by type and quarter, in chunks of bounded size; ``digits`` as in ``hash_bucket``."""
+    """Documents nested by type and quarter, in chunks of bounded size; ``digits`` as in ``hash_bucket``. Staged as in ``group_progress``."""
     order = [_digest_part(), F.col("DocID")]
-    return nest_groups(docs, GROUP, order, hash_bucket(_digest_part(), digits), columns, "Documents", chunk_rows)
+    return nest_groups(staged(docs.select(*GROUP, *dict.fromkeys(["DocID", *columns])), "nested"), GROUP, order, hash_bucket(_digest_part(), digits), columns, "Documents", chunk_rows)
 
 
 def parse_documents(
