@@ -221,6 +221,33 @@ def test_landing_pages_are_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
+def test_landing_entries_are_not_sorted_as_rows(spark):
+    """Pages are sorted to drop copies, as one string each; their entries are numbered and filled within the page."""
+    pages = spark.createDataFrame([("p", "<p>")], "HashIndex string, HTML string")
+    for found in (landing.parse_landing(pages), landing.landing_elements(pages)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert (plan.count("Window ["), plan.count("Sort ["), plan.count("Aggregate(")) == (1, 2, 0)
+
+
+def test_landing_entries_are_numbered_by_name(spark):
+    """Headings without text and text without heading, boxes in boxes, repeated names, empty fields, characters used as marks."""
+    heads = ["A", "B", "A", "", "A\x1e\x1f\x1dB"]
+    box = "<div class='formGrouping'>{}</div>".format
+    pair = "<b class='infoHead'>{}</b><b class='info'>{}</b>".format
+    page = (
+        box("".join(pair(h, f"v{k}") for k, h in enumerate(heads)) + box("<b class=info>alone</b>" + pair("A", "")) + "<b class=infoHead>Lost</b>")
+        + "<p class=identInfo>X: 1 | X: 2</p><p class=identInfo>X: 3</p>" + "<div class=mailer>Mailing Address M</div>" * 2
+    )
+    found = landing.landing_elements(spark.createDataFrame([("p", page), (None, page), (None, page)], "HashIndex string, HTML string")).collect()
+    rows = sorted((r.Kind, r.Name, r.EntryNum, r.Info) for r in found if r.HashIndex)
+    assert rows == sorted((r.Kind, r.Name, r.EntryNum, r.Info) for r in found if r.HashIndex is None)
+    assert rows == [
+        ("formGrouping", "A", 1, "v0"), ("formGrouping", "A", 2, "v2"), ("formGrouping", "A", 3, "alone"), ("formGrouping", "AB", 1, "v4"),
+        ("formGrouping", "B", 1, "v1"), ("identInfo", "X", 1, "1"), ("identInfo", "X", 1, "2"), ("identInfo", "X", 2, "3"),
+        ("mailer", "Mailing Address", 1, "M"), ("mailer", "Mailing Address", 2, "M"),
+    ]
+
+
 def test_entries_take_over_what_came_before(spark):
     """Against a plain loop: nulls leave known values, stand as unknown ones; of repeats the first counts."""
     rng = random.Random(7)
