@@ -25,7 +25,8 @@ from ..sources.files import decode_text
 from ..sources.landed import landed_files, open_files
 
 GROUP = ["TypeSave", "YQSave"]
-TASK_BYTES = 64 << 20  # of landed files that a task parses
+TASK_BYTES, LEAST_BYTES = 16 << 20, 1 << 20  # of landed files that a task parses, and below which dealing them out further does not pay
+TASKS_PER_CORE = 3
 PARSED = "Parsed Documents: "  # text of the log
 
 
@@ -147,13 +148,19 @@ def build_documents(
 
 
 def dealt_by_size(files: DataFrame, by: Sequence[str], task_bytes: int = TASK_BYTES) -> DataFrame:
-    """Files (path, length and ``by``) dealt out so that a task has about ``task_bytes`` of them, of one group if it is large."""
-    parts = F.greatest(F.ceil(F.sum("length") / task_bytes), F.lit(1)).cast("int")
+    """Files (path, length and ``by``) dealt out so that a task has about ``task_bytes`` of them, of one group if it is large.
+
+    Less than that where a run is too small to give every core a few tasks, since tasks get uneven shares.
+    """
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    even = total // (files.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE)
+    share = min(task_bytes, max(even, LEAST_BYTES))
+    parts = F.greatest(F.ceil(F.sum("length") / share), F.lit(1)).cast("int")
     sizes = files.groupBy(*by).agg(parts.alias("__parts"))
     # Small groups share a task.
-    tasks = files.agg(F.coalesce(F.ceil(F.sum("length") / task_bytes), F.lit(0))).first()[0]
+    tasks = -(-total // share)
     part = F.pmod(F.xxhash64("path"), F.col("__parts"))
-    return files.join(sizes, list(by)).withColumn("__part", part).repartition(max(int(tasks), 1), *by, "__part").drop("__part", "__parts")
+    return files.join(sizes, list(by)).withColumn("__part", part).repartition(max(tasks, 1), *by, "__part").drop("__part", "__parts")
 
 
 def _parse_files(spark: SparkSession, wanted: DataFrame, path: str, log: str) -> None:

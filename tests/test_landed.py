@@ -81,3 +81,14 @@ def test_large_groups_are_dealt_out_by_size(spark):
     sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
     assert len(sizes) > 10 and max(sizes) < 250
     assert dealt_by_size(files.filter("false"), ["g"]).count() == 0
+
+
+def test_a_small_run_of_files_is_parsed_by_every_core(spark):
+    """Half a task's size in one group, and in many: no core is left without files."""
+    for groups in (1, 40):
+        files = spark.range(400).select(
+            F.concat(F.lit("p"), "id").alias("path"), F.lit(80_000).cast("long").alias("length"), (F.col("id") % groups).cast("string").alias("g")
+        )
+        dealt = dealt_by_size(files, ["g"]).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
+        assert sum(sizes) == 400 and len(sizes) >= 4 and max(sizes) < 200
