@@ -364,3 +364,25 @@ def test_listed_files_misses_no_file(spark, monkeypatch):
 
     monkeypatch.setattr(files, "list_files", shortened)
     assert not any(r.Listed for r in queries.listed_files(spark, "/root/testdata/sf0.01").collect())
+
+
+def test_link_rows_are_read_in_one_step(spark):
+    """Python is asked once for a page, and no pattern of a table's tags is left to Spark."""
+    pages = spark.createDataFrame([("h", "c", 2020.1, LINK_PAGE)], "HashIndex string, CIK string, YearQuarter double, HTML string")
+    plan = links.extract_links(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and not any(tag in plan for tag in ("<t[dh]", "<td", "<tr"))
+    assert "rows" in links.cut_pages(pages, ["HashIndex"]).columns
+
+
+def test_odd_link_tables(spark):
+    """References, marks and end tags that a table should not hold are read as by the patterns that follow one another."""
+    cells = [
+        ("1", "a &lt; b&#65;&#x42;&#28;&bogus;&a;&#0099;", "1", "a < bAB�&bogus;&a;c"),
+        ("2", "&amp;lt;&nbsp;x\x01\x1f\t \n y", "2", "&lt; x y"),
+        ("3", "x<br>y<b title='<td>'>z</b>", "3", "x\nyz"),
+        ("4<td/>", "p</td>", "4", None),
+    ]
+    body = "".join(f"<tr><td>{seq}</td><td>{text}</td><td>9</td></tr>" for seq, text, *_ in cells)
+    page = f"<div id=formDiv><table><tr><th>Seq<th>Document<th>Size</tr>{body}</table></div>"
+    found = links.extract_links(spark.createDataFrame([("h", "c", 2020.1, page)], "HashIndex string, CIK string, YearQuarter double, HTML string"))
+    assert {(str(r.Seq), r.Document) for r in found.collect()} == {(seq, text) for *_, seq, text in cells}
