@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,13 +68,15 @@ def passages(text: str) -> Iterator[tuple[int, int, int, list[bytes]]]:
     """
     at = 0
     for line in text.split("\n"):
-        ends = [0, *(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]
-        whole = line.encode().lower().split()
+        low = line.encode().lower()
+        whole = low.split()
         if len(whole) >= MIN_WORDS:
             yield PARAGRAPH, at, at + len(line), whole
+            ascii_, least = len(low) == len(line), 2 * MIN_WORDS - 1
+            ends = [0, *(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]
             if len(ends) > 2:
                 for a, b in zip(ends, ends[1:]):
-                    words = line[a:b].encode().lower().split()
+                    words = (low[a:b] if ascii_ else line[a:b].encode().lower()).split() if b - a >= least else ()
                     if len(words) >= MIN_WORDS:
                         yield SENTENCE, at + a, at + b, words
         at += len(line) + 1
@@ -81,9 +84,8 @@ def passages(text: str) -> Iterator[tuple[int, int, int, list[bytes]]]:
 
 def _shingle_hashes(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all paragraphs, from one hash of each word, and each paragraph's number of them."""
-    digest = xxhash.xxh64_intdigest
-    words = np.fromiter((digest(w) for own in paragraphs for w in own), dtype=np.uint64)
     sizes = np.array([len(own) for own in paragraphs])
+    words = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(paragraphs)), dtype=np.uint64, count=sizes.sum())
     hashes = np.zeros(len(words) - SHINGLE_WORDS + 1, dtype=np.uint64)
     for k in range(SHINGLE_WORDS):
         hashes = hashes * _PRIME_BITS + words[k : k + len(hashes)]
@@ -100,9 +102,12 @@ def band_hashes(paragraphs: list[list[bytes]]) -> np.ndarray:
     flat, sizes = _shingle_hashes(paragraphs)
     starts = np.cumsum(sizes) - sizes
     bands = np.zeros((len(paragraphs), BANDS), dtype=np.uint64)
+    mixed, high = np.empty_like(flat), np.empty_like(flat)
     for k in range(BANDS * ROWS):
-        mixed = flat * _ODD[k] + _SHIFT[k]
-        mixed ^= mixed >> np.uint64(32)
+        np.multiply(flat, _ODD[k], out=mixed)
+        mixed += _SHIFT[k]
+        np.right_shift(mixed, np.uint64(32), out=high)
+        mixed ^= high
         least = np.minimum.reduceat(mixed, starts)
         band = bands[:, k // ROWS]
         band[:] = (band ^ least) * _PRIME_BITS + np.uint64(k + 1)
@@ -136,7 +141,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     line_start = start
                     words.append(own)
                 rows.append((doc_id, level, start, stop, line_start, key, _code(key)))
-            if len(rows) >= 20_000:
+            if len(rows) >= 2_000:
                 yield flush(rows, words)
                 rows, words = [], []
         if rows:
@@ -159,33 +164,55 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
 
-def sketch(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of a paragraph's shingles, each once, and their parity bits.
+def sketches(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of each paragraph's shingles, each once and in order, how many these are, and their parity bits.
 
     Each hash flips one of ``SKETCH_BITS`` bits, so two sketches differ in no more bits than the sets do in members.
     """
-    hashes = np.unique(_shingle_hashes([words])[0])
-    odd = np.bincount((hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return hashes.view(np.int64), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    flat, sizes = _shingle_hashes(paragraphs)
+    of = np.repeat(np.arange(len(paragraphs)), sizes)
+    order = np.lexsort((flat, of))
+    flat = flat[order]
+    once = np.append(True, (flat[1:] != flat[:-1]) | (of[1:] != of[:-1]))
+    flat, of = flat[once], of[once]
+    spots = of * SKETCH_BITS + (flat % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = np.bincount(spots, minlength=len(paragraphs) * SKETCH_BITS).astype(np.uint8) & 1
+    parity = np.packbits(odd.reshape(len(paragraphs), SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
+    return flat.view(np.int64), np.bincount(of, minlength=len(paragraphs)), parity
+
+
+def sketch(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``sketches`` of one paragraph."""
+    hashes, _, parity = sketches([words])
+    return hashes, parity[0]
 
 
 def _sketched(bitmap: bytes):
+    def flush(codes: list[int], words: list[list[bytes]]) -> pa.RecordBatch:
+        hashes, n, parity = sketches(words)
+        offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
+        columns = [pa.array(codes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(hashes)), pa.array(n, pa.int32())]
+        columns += [pa.array(parity[:, k]) for k in range(len(_SKETCH))]
+        return pa.RecordBatch.from_arrays(columns, names=["code", "shingles", "n", *_SKETCH])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8))
+        bits = np.frombuffer(bitmap, dtype=np.uint8)
         for batch in batches:
-            codes, sets, sketches = [], [], []
+            codes, words = [], []
             for text in batch.column(0):
-                for level, _, _, words in passages(text.as_py() or ""):
-                    if level == PARAGRAPH:
-                        code = _code(_key(words))
-                        if bits[_bit(code)]:
-                            hashes, parity = sketch(words)
+                for line in (text.as_py() or "").split("\n"):
+                    own = line.encode().lower().split()
+                    if len(own) >= MIN_WORDS:
+                        code = _code(_key(own))
+                        bit = _bit(code)
+                        if bits[bit >> 3] >> (7 - (bit & 7)) & 1:
                             codes.append(code)
-                            sets.append(hashes)
-                            sketches.append(parity)
-            columns = [pa.array(codes, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(list(map(len, sets)), pa.int32())]
-            columns += [pa.array([s[k] for s in sketches], pa.int64()) for k in range(len(_SKETCH))]
-            yield pa.RecordBatch.from_arrays(columns, names=["code", "shingles", "n", *_SKETCH])
+                            words.append(own)
+                if len(codes) >= 2_000:
+                    yield flush(codes, words)
+                    codes, words = [], []
+            if codes:
+                yield flush(codes, words)
 
     return run
 

@@ -18,6 +18,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ SPAN_WORDS = 50  # words in a row that two documents must share
 PRINT_WORDS = 18
 _BITMAP_BITS = 1 << 26  # eight megabytes that tell tasks which windows may have a copy
 _BITMAP_PARTS = 8
+_PART_BITS = _BITMAP_BITS // _BITMAP_PARTS
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
@@ -37,7 +39,7 @@ _STRETCH = f"{_PLACE}, print long, hash long, check long, hashes array<long>, st
 _STRETCH_TYPES = _PLACE_TYPES + [("print", pa.int64()), ("hash", pa.int64()), ("check", pa.int64())]
 _WINDOW = f"{_PLACE}, print long, hash long"
 _STRETCH_WINDOWS = 4096  # a longer stretch, of a text that repeats itself, is cut
-_BATCH_WINDOWS = 200_000
+_SLICE_BYTES = 1 << 18  # of text whose windows are told at once
 
 
 @cache
@@ -53,7 +55,7 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """A hash of each stretch of values, which depends on the values in it alone."""
-    power, inverse = _powers(base, max(10, len(values).bit_length()))
+    power, inverse = _powers(base, max(_SLICE_BYTES.bit_length(), len(values).bit_length()))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * power[: len(values)])])
     mixed = (sums[ends] - sums[starts]) * inverse[starts]
     mixed = (mixed ^ mixed >> np.uint64(32)) * _PRIME
@@ -73,15 +75,15 @@ def words_at(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blank = _BLANK[raw]
     first = ~blank
     first[1:] &= blank[:-1]
-    alone = np.flatnonzero(_unspaced(raw))
+    alone = np.flatnonzero(_unspaced(raw)) if len(raw) and raw.max() >= 0xE0 else ()
     if len(alone):
         first[alone] = True
         behind = alone + 3 + (raw[alone] >= 0xF0)
         behind = behind[behind < len(raw)]
         first[behind[~blank[behind]]] = True
-    starts = np.flatnonzero(first)
-    edges = np.append(np.flatnonzero(first | blank), len(raw))
-    return starts, edges[np.searchsorted(edges, starts, "right")]
+    edges = np.flatnonzero(first | blank)
+    begins = first[edges]
+    return edges[begins], np.append(edges[1:], len(raw))[: len(edges)][begins]
 
 
 def _grams(words: np.ndarray, size: int, base: int) -> np.ndarray:
@@ -98,17 +100,29 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(least) - (width - half)], least[width - half :])
 
 
-class _Text:
-    """Word hashes of a text, and for each of its windows the smallest hash of a run of words."""
+class _Texts:
+    """Word hashes of texts laid end to end, and for each of their windows the smallest hash of a run of words.
 
-    def __init__(self, text: str):
-        self.raw = np.frombuffer(text.encode().lower(), dtype=np.uint8)
+    A line end follows each text, so no word reaches into the next one, and every hash depends on its own words alone.
+    """
+
+    def __init__(self, texts: pa.Array):
+        empty, line_end = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
+        # Folded before the cast: of a slice that was cast, Arrow's kernel folds the wrong bytes.
+        lowered = pc.fill_null(pc.ascii_lower(texts).cast(pa.large_string()), empty)
+        joined = pc.binary_join_element_wise(lowered, line_end, empty)
+        self.offsets = np.frombuffer(joined.buffers()[1], dtype=np.int64)[: len(texts) + 1]
+        self.raw = np.frombuffer(joined.buffers()[2], dtype=np.uint8)[: self.offsets[-1]]
         self.starts, self.ends = words_at(self.raw)
-        self.windows = max(len(self.starts) - SPAN_WORDS + 1, 0)
-        if self.windows:
+        self.firsts = np.searchsorted(self.starts, self.offsets)  # the number of each text's first word
+        counts = np.maximum(np.diff(self.firsts) - SPAN_WORDS + 1, 0)
+        #: Of each window, its text and its first word.
+        self.text = np.repeat(np.arange(len(texts)), counts)
+        self.at = np.arange(len(self.text)) + np.repeat(self.firsts[:-1] - (np.cumsum(counts) - counts), counts)
+        if len(self.at):
             self.words = _rolling(_BYTES[self.raw], self.starts, self.ends, _BASES[0])
             runs = _grams(self.words, PRINT_WORDS, _BASES[1])
-            self.prints = _smallest(runs, SPAN_WORDS - PRINT_WORDS + 1).view(np.int64)
+            self.prints = _smallest(runs, SPAN_WORDS - PRINT_WORDS + 1).view(np.int64)[self.at]
 
     def hashes(self, at: np.ndarray, behind: np.ndarray) -> np.ndarray:
         return _rolling(self.words, at, behind, _BASES[0]).view(np.int64)
@@ -118,31 +132,54 @@ class _Text:
         words = _rolling(_BYTES[::-1][self.raw], self.starts, self.ends, _BASES[1])
         return _rolling(words, at, behind, _BASES[1]).view(np.int64)
 
+    def places(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First code points of words and those behind them, over all texts, and of the texts."""
+        chars = np.cumsum((self.raw & 0xC0) != 0x80)
+        return chars[self.starts] - 1, chars[self.ends - 1], np.append(chars[self.offsets[:-1]] - 1, chars[-1])
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows with some text at a time, so that the arrays made of it stay small."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    parts = (sizes - 1) // _SLICE_BYTES
+    firsts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
+    for first, last in zip(firsts, [*firsts[1:], len(batch)]):
+        yield batch.slice(first, last - first)
+
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [np.zeros(0, np.int64)]
-        for text in batch.column(0):
-            own = _Text(text.as_py() or "")
-            if own.windows:
-                found.append(np.unique(own.prints))
+        for part in _slices(batch, 0):
+            own = _Texts(part.column(0))
+            if len(own.at):
+                new = np.append(True, (np.diff(own.prints) != 0) | (np.diff(own.text) != 0))
+                prints, text = own.prints[new], own.text[new]
+                order = np.lexsort((prints, text))
+                prints, text = prints[order], text[order]
+                found.append(prints[np.append(True, (np.diff(prints) != 0) | (np.diff(text) != 0))])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["print"])
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(_BITMAP_BITS, dtype=bool)
+    """The parts of the bitmap that the spots of a task fall in."""
+    parts: dict[int, np.ndarray] = {}
     for batch in batches:
-        bits[batch.column(0).to_numpy() & (_BITMAP_BITS - 1)] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
+        spots = np.unique(batch.column(0).to_numpy())
+        numbers, first = np.unique(spots // _PART_BITS, return_index=True)
+        for number, own in zip(numbers.tolist(), np.split(spots % _PART_BITS, first[1:])):
+            bits = parts.setdefault(number, np.zeros(_PART_BITS // 8, dtype=np.uint8))
+            head = np.flatnonzero(np.diff(own >> 3, prepend=-1))
+            bits[own[head] >> 3] |= np.bitwise_or.reduceat(np.uint8(1) << (own & 7).astype(np.uint8), head)
+    for number, bits in parts.items():
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["part", "bits"])
 
 
-def _covered(places: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+def _covered(places: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """How many of the first places lie in a span, for each number of them."""
     inside = np.zeros(len(places) + 1, dtype=np.int64)
-    for start, stop in spans:
-        a, b = np.searchsorted(places, [start, stop])
-        inside[a] += 1
-        inside[b] -= 1
+    np.add.at(inside, np.searchsorted(places, starts), 1)
+    np.add.at(inside, np.searchsorted(places, stops), -1)
     return np.concatenate([[0], np.cumsum(np.cumsum(inside)[:-1] > 0)])
 
 
@@ -164,46 +201,47 @@ def _stretches(bitmap: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap, dtype=np.uint8)
         for batch in batches:
-            columns, windows = [], 0
-            for doc_id, text, gone in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                own = _Text(text.as_py() or "")
-                if not own.windows:
-                    continue
-                may = _has(bits, own.prints & (_BITMAP_BITS - 1))
-                if not may.any():
-                    continue
-                chars = np.cumsum((own.raw & 0xC0) != 0x80)
-                starts, stops = chars[own.starts] - 1, chars[own.ends - 1]
-                spans = gone.as_py() or []
-                going = _covered(starts, [(g["start"], g["stop"]) for g in spans])
-                may &= going[SPAN_WORDS:] - going[:-SPAN_WORDS] < SPAN_WORDS
-                at = np.flatnonzero(may)
-                if not len(at):
-                    continue
-                near = _covered(starts, [(g["start"], g["stop"]) for g in spans if g["near"]])
-                near, prints = near[at + SPAN_WORDS] > near[at], own.prints[at]
-                parts = (np.diff(at) > 1) | (np.diff(prints) != 0) | (near[1:] != near[:-1]) | (at[1:] % _STRETCH_WINDOWS == 0)
-                first = np.flatnonzero(np.append(True, parts))
-                n = np.diff(first, append=len(at))
-                low, behind = at[first], at[first] + n + SPAN_WORDS - 1
-                places = [np.full(len(n), doc_id), low, n, starts[low], stops[behind - 1], near[first], prints[first]]
-                each = [own.hashes(at, at + SPAN_WORDS), starts[at], stops[at + SPAN_WORDS - 1]]
-                columns.append([*places, own.hashes(low, behind), own.checks(low, behind), *each])
-                windows += len(at)
-                if windows >= _BATCH_WINDOWS:
-                    yield _joined(columns)
-                    columns, windows = [], 0
-            if columns:
-                yield _joined(columns)
+            for part in _slices(batch, 1):
+                found = _slice_stretches(part, bits)
+                if found is not None:
+                    yield found
 
     return run
 
 
-def _joined(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    whole = [np.concatenate(c) for c in zip(*columns)]
+def _slice_stretches(part: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch | None:
+    own = _Texts(part.column(1))
+    if not len(own.at):
+        return None
+    may = _has(bits, own.prints & (_BITMAP_BITS - 1))
+    if not may.any():
+        return None
+    starts, stops, bases = own.places()
+    gone = part.column(2)
+    spans, of = gone.flatten(), np.repeat(np.arange(len(part)), pc.fill_null(pc.list_value_length(gone), 0).to_numpy(zero_copy_only=False))
+    # Rows that share a doc_id share what goes, which can lie behind the end of the shorter text.
+    low, high = (np.minimum(spans.field(k).to_numpy() + bases[of], bases[of + 1]) for k in range(2))
+    going = _covered(starts, low, high)
+    may &= going[own.at + SPAN_WORDS] - going[own.at] < SPAN_WORDS
+    if not may.any():
+        return None
+    at, text, prints = own.at[may], own.text[may], own.prints[may]
+    unlike = spans.field(2).to_numpy(zero_copy_only=False).astype(bool)
+    near = _covered(starts, low[unlike], high[unlike])
+    near = near[at + SPAN_WORDS] > near[at]
+    local = at - own.firsts[text]
+    parts = (np.diff(at) > 1) | (np.diff(prints) != 0) | (near[1:] != near[:-1]) | (local[1:] % _STRETCH_WINDOWS == 0)
+    first = np.flatnonzero(np.append(True, parts))
+    n = np.diff(first, append=len(at))
+    head, base = at[first], bases[text[first]]
+    behind = head + n + SPAN_WORDS - 1
+    doc_id = part.column(0).to_numpy()[text[first]]
+    places = [doc_id, local[first], n, starts[head] - base, stops[behind - 1] - base, near[first], prints[first]]
+    whole = [*places, own.hashes(head, behind), own.checks(head, behind)]
+    each = [own.hashes(at, at + SPAN_WORDS), starts[at] - bases[text], stops[at + SPAN_WORDS - 1] - bases[text]]
     arrays = [pa.array(c, t) for c, (_, t) in zip(whole, _STRETCH_TYPES)]
-    offsets = pa.array(np.append(0, np.cumsum(whole[2])), pa.int32())
-    for values, kind in zip(whole[len(arrays) :], (pa.int64(), pa.int32(), pa.int32())):
+    offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
+    for values, kind in zip(each, (pa.int64(), pa.int32(), pa.int32())):
         arrays.append(pa.ListArray.from_arrays(offsets, pa.array(values, kind)))
     return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in _STRETCH.split(", ")])
 
@@ -227,19 +265,18 @@ def _apart(bitmap: bytes):
     return run
 
 
-def _mark_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def spots() -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = _place_number(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(_spot(places))], names=["spot"])
-
-    return _mark(spots())
+def _place_spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = _place_number(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(_spot(places))], names=["spot"])
 
 
-def _gathered(marks: DataFrame) -> bytes:
-    bitmap = np.zeros(_BITMAP_BITS // 8, dtype=np.uint8)
-    for row in marks.toLocalIterator():
-        bitmap |= np.frombuffer(row.bits, dtype=np.uint8)
+def _bitmap(spots: DataFrame) -> bytes:
+    """A bit for each of ``spots(spot long)``. A task marks whole parts of it, so the driver gets each part about once."""
+    parts = spots.repartition(_BITMAP_PARTS, F.floor(F.col("spot") / _PART_BITS)).mapInArrow(_mark, "part int, bits binary")
+    bitmap = np.zeros(_BITMAP_BITS // 8, dtype=np.uint8).reshape(_BITMAP_PARTS, -1)
+    for row in parts.collect():
+        bitmap[row.part] |= np.frombuffer(row.bits, dtype=np.uint8)
     return bitmap.tobytes()
 
 
@@ -263,7 +300,7 @@ def repeated_spans(docs: DataFrame, gone: DataFrame) -> DataFrame:
     ``SPAN_WORDS`` that also stands in a document with a smaller doc_id lies in a span.
     """
     shared = docs.select("text").mapInArrow(_prints, "print long").groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("print")
-    bitmap = _gathered(shared.repartition(_BITMAP_PARTS).mapInArrow(_mark, "bits binary"))
+    bitmap = _bitmap(shared.select(F.col("print").bitwiseAND(F.lit(_BITMAP_BITS - 1).cast("long")).alias("spot")))
 
     spans = gone.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "near")).alias("gone"))
     texts = docs.join(spans, "doc_id", "left").select("doc_id", "text", "gone")
@@ -273,7 +310,7 @@ def repeated_spans(docs: DataFrame, gone: DataFrame) -> DataFrame:
     left = whole.where("keep IS NULL OR doc_id <= keep.doc_id")
     open_prints = left.groupBy("print").agg(F.min(F.when(~F.col("near"), F.col("doc_id"))).alias("low"), F.max("doc_id").alias("high")).where("low < high")
     places = left.join(open_prints.select("print"), "print").select("doc_id", "at")
-    apart = _apart(_gathered(places.repartition(_BITMAP_PARTS).mapInArrow(_mark_places, "bits binary")))
+    apart = _apart(_bitmap(places.mapInArrow(_place_spots, "spot long")))
     windows = stretches.select("doc_id", "at", "n", "near", "print", "hashes", "starts", "stops").mapInArrow(apart, _WINDOW)
     later = _later(whole).unionByName(_later(_with_keepers(windows, "print", "hash", how="inner")))
 

@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarterdeck.llm import paragraphs
+from quarterdeck.llm import paragraphs, spans
 from tests.llm.helpers import AWKWARD, SAID, SHARED_IDS, documents, groups_of, prose, tuples
 
 
@@ -196,3 +197,25 @@ def test_rows_that_share_an_id_lose_their_own_passages_only(spark):
     assert left == sorted([(1, SAID), (7, rows[1].replace(SAID, "")), (7, rows[2]), (None, ""), (None, rows[4]), (8, rows[5])], key=repr)
     for stage in (paragraphs.drop_repeats, paragraphs.repeated_text):
         assert stage(docs.where("false")).count() == 0
+
+
+def test_texts_laid_end_to_end_hash_as_each_alone():
+    """Windows of a batch, cut into slices or not, are those of its texts one by one; null and short texts have none."""
+    rng = random.Random(4)
+    words = ["Alpha", "bÉta", "x", "wörd", "ไทย", "漢字", "tail."]
+    texts = [None, "", "short"] + [rng.choice(" \n\t").join(rng.choice(words) for _ in range(rng.randint(40, 300))) for _ in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]).slice(1)
+    own = spans._Texts(batch.column(0))
+    assert set(own.text.tolist()).isdisjoint({0, 1})
+    for k in range(len(batch)):
+        alone = spans._Texts(batch.column(0).slice(k, 1))
+        assert own.prints[own.text == k].tolist() == alone.prints.tolist() if len(alone.at) else not (own.text == k).any()
+        assert len(alone.at) == max(len(alone.starts) - spans.SPAN_WORDS + 1, 0)
+
+
+def test_the_driver_gets_each_part_of_a_bitmap_once(spark):
+    spots = spark.range(0, 1 << 26, 997).withColumnRenamed("id", "spot").repartition(6)
+    marked = spots.repartition(8, F.floor(F.col("spot") / spans._PART_BITS)).mapInArrow(spans._mark, "part int, bits binary")
+    assert sorted(r.part for r in marked.select("part").collect()) == list(range(8))
+    bits = np.unpackbits(np.frombuffer(spans._bitmap(spots), dtype=np.uint8), bitorder="little")
+    assert np.array_equal(np.flatnonzero(bits), np.arange(0, 1 << 26, 997))
