@@ -19,19 +19,16 @@ is never the one that stays, so that no text loses its last copy.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import ROW, discard, staged, with_row_keys
 from quarterdeck.llm.components import components
-from quarterdeck.llm.spans import repeated_spans
+from quarterdeck.llm.spans import BITMAP_BITS, BLANK, _bitmap, has, laid_out, repeated_spans, row_checks, row_hashes, slices, word_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -40,16 +37,15 @@ BANDS, ROWS = 8, 3
 PARAGRAPH, SENTENCE = 0, 1
 SKETCH_BITS = 256
 _SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
-_BITMAP_BITS = 1 << 23  # one megabyte that tells tasks which paragraphs to read again
-_BITMAP_PARTS = 8
 _PRIME_BITS = np.uint64(0x9E3779B97F4A7C15)
-_SENTENCE_END = re.compile(r"(?<=[.!?])[ \t]+")
+_SENTENCE_END = np.isin(np.arange(256), list(b".!?"))
 _BAND_NAMES = [f"band{k}" for k in range(BANDS)]
-_PASSAGE = "doc_id long, level int, start int, stop int, line_start int, key binary, code long, " + ", ".join(f"{n} long" for n in _BAND_NAMES)
+_KEY = ["code", "check"]  # hashes of the words, 128 bits
 _SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("level", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("line_start", pa.int32()), ("key", pa.binary()), ("code", pa.int64())]
+    [("doc_id", pa.int64()), ("level", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("line_start", pa.int32()), ("code", pa.int64()), ("check", pa.int64())]
     + [(n, pa.int64()) for n in _BAND_NAMES]
 )
+_PASSAGE = "doc_id long, level int, start int, stop int, line_start int, " + ", ".join(f"{n} long" for n in _KEY + _BAND_NAMES)
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -61,47 +57,93 @@ def _permutations() -> tuple[np.ndarray, np.ndarray]:
 _ODD, _SHIFT = _permutations()
 
 
+class _Units:
+    """The paragraphs and sentences that have enough words, of texts laid end to end with a line end after each.
+
+    Words are stretches between blanks. A sentence ends with the blanks behind a full stop, exclamation or question mark, and a
+    paragraph that is one sentence is given once, as a paragraph. ``level``, ``text``, ``start``, ``stop`` and ``line_start`` (code
+    points in the text) are arrays with a member for each unit, paragraphs first; its words are those from ``at`` to ``behind``.
+    """
+
+    def __init__(self, texts: pa.Array):
+        self.raw, offsets = raw, _ = laid_out(texts)
+        edges = np.flatnonzero(np.diff(BLANK[raw].view(np.int8), prepend=1))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        line_ends = np.flatnonzero(raw == 10)
+        lines = np.append(0, line_ends[:-1] + 1)
+        long = np.searchsorted(self.starts, line_ends) - np.searchsorted(self.starts, lines) >= MIN_WORDS
+        gap = np.flatnonzero(np.diff(((raw == 32) | (raw == 9)).view(np.int8), prepend=0))
+        # Before the first byte lies the last one, a line end.
+        cuts = gap[1::2][_SENTENCE_END[raw[gap[::2] - 1]]]
+        of = np.searchsorted(line_ends, cuts)
+        of, cuts = of[long[of]], cuts[long[of]]
+        several = np.unique(of)
+        low, high = np.sort(np.append(lines[several], cuts)), np.sort(np.append(cuts, line_ends[several]))
+        around = np.sort(np.append(several, of))
+        enough = np.searchsorted(self.starts, high) - np.searchsorted(self.starts, low) >= MIN_WORDS
+        n, m = int(long.sum()), int(enough.sum())
+        first, last = np.append(lines[long], low[enough]), np.append(line_ends[long], high[enough])
+        line = np.append(lines[long], lines[around[enough]])
+        self.paragraphs, self.level = n, np.repeat(np.array([PARAGRAPH, SENTENCE], dtype=np.int32), [n, m])
+        self.at, self.behind = np.searchsorted(self.starts, first), np.searchsorted(self.starts, last)
+        chars = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
+        self.text = np.searchsorted(offsets, first, side="right") - 1
+        base = chars[offsets[self.text]]
+        self.start, self.stop, self.line_start = chars[first] - base, chars[last] - base, chars[line] - base
+        self.words = word_hashes(raw, self.starts, self.ends)
+
+    def codes(self) -> np.ndarray:
+        return row_hashes(self.words, self.at, self.behind)
+
+    def checks(self) -> np.ndarray:
+        return row_checks(self.raw, self.starts, self.ends, self.at, self.behind)
+
+    def shingles(self, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the shingles of the paragraphs, or of those chosen, and each one's number of them."""
+        at, behind = (a[: self.paragraphs] if chosen is None else a[chosen] for a in (self.at, self.behind))
+        return _shingle_hashes(self.words, at, behind)
+
+
 def passages(text: str) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """``(level, start, stop, words)`` of the paragraphs and sentences that have enough words.
+    """``(level, start, stop, words)`` of the paragraphs and sentences that have enough words, as ``_Units`` finds them.
 
-    Places are code points. A paragraph that is one sentence is given once, as a paragraph.
+    Places are code points.
     """
-    at = 0
-    for line in text.split("\n"):
-        low = line.encode().lower()
-        whole = low.split()
-        if len(whole) >= MIN_WORDS:
-            yield PARAGRAPH, at, at + len(line), whole
-            ascii_, least = len(low) == len(line), 2 * MIN_WORDS - 1
-            ends = [0, *(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]
-            if len(ends) > 2:
-                for a, b in zip(ends, ends[1:]):
-                    words = (low[a:b] if ascii_ else line[a:b].encode().lower()).split() if b - a >= least else ()
-                    if len(words) >= MIN_WORDS:
-                        yield SENTENCE, at + a, at + b, words
-        at += len(line) + 1
-
-
-def _shingle_hashes(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    own = _Units(pa.array([text]))
+    for k in np.lexsort((own.level, own.start)).tolist():
+        words = [own.raw[a:b].tobytes() for a, b in zip(own.starts[own.at[k] : own.behind[k]], own.ends[own.at[k] : own.behind[k]])]
+        yield int(own.level[k]), int(own.start[k]), int(own.stop[k]), words
+
+
+def _shingle_hashes(words: np.ndarray, at: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all paragraphs, from one hash of each word, and each paragraph's number of them."""
-    sizes = np.array([len(own) for own in paragraphs])
-    words = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(paragraphs)), dtype=np.uint64, count=sizes.sum())
-    hashes = np.zeros(len(words) - SHINGLE_WORDS + 1, dtype=np.uint64)
+    hashes = np.zeros(max(len(words) - SHINGLE_WORDS + 1, 0), dtype=np.uint64)
     for k in range(SHINGLE_WORDS):
         hashes = hashes * _PRIME_BITS + words[k : k + len(hashes)]
     hashes = (hashes ^ hashes >> np.uint64(32)) * _PRIME_BITS
-    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    whole = place + SHINGLE_WORDS <= np.repeat(sizes, sizes)
-    return hashes[whole[: len(hashes)]], sizes - SHINGLE_WORDS + 1
+    sizes = behind - at - SHINGLE_WORDS + 1
+    places = np.arange(sizes.sum()) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)
+    return hashes[places], sizes
+
+
+def _listed(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """``_shingle_hashes`` of paragraphs given as words."""
+    raw = np.frombuffer(b"".join(word + b"\n" for own in paragraphs for word in own), dtype=np.uint8)
+    ends = np.flatnonzero(raw == 10)
+    behind = np.cumsum([len(own) for own in paragraphs])
+    return _shingle_hashes(word_hashes(raw, np.append(0, ends[:-1] + 1), ends), np.append(0, behind[:-1]), behind)
 
 
 def band_hashes(paragraphs: list[list[bytes]]) -> np.ndarray:
     """(paragraphs, BANDS): the hash of each band's min-hashes."""
-    if not paragraphs:
-        return np.zeros((0, BANDS), dtype=np.int64)
-    flat, sizes = _shingle_hashes(paragraphs)
+    return _bands(*_listed(paragraphs)) if paragraphs else np.zeros((0, BANDS), dtype=np.int64)
+
+
+def _bands(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     starts = np.cumsum(sizes) - sizes
-    bands = np.zeros((len(paragraphs), BANDS), dtype=np.uint64)
+    bands = np.zeros((BANDS, len(sizes)), dtype=np.uint64)
+    if not len(sizes):
+        return bands.T.view(np.int64)
     mixed, high = np.empty_like(flat), np.empty_like(flat)
     for k in range(BANDS * ROWS):
         np.multiply(flat, _ODD[k], out=mixed)
@@ -109,110 +151,71 @@ def band_hashes(paragraphs: list[list[bytes]]) -> np.ndarray:
         np.right_shift(mixed, np.uint64(32), out=high)
         mixed ^= high
         least = np.minimum.reduceat(mixed, starts)
-        band = bands[:, k // ROWS]
+        band = bands[k // ROWS]
         band[:] = (band ^ least) * _PRIME_BITS + np.uint64(k + 1)
-    return bands.view(np.int64)
-
-
-def _key(words: list[bytes]) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(words))
-
-
-def _code(key: bytes) -> int:
-    return int.from_bytes(key[:8], "little", signed=True)
+    return bands.view(np.int64).T
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flush(rows: list[tuple], words: list[list[bytes]]) -> pa.RecordBatch:
-        columns = list(zip(*rows))
-        paragraphs = np.array(columns[1]) == PARAGRAPH
-        bands = np.zeros((len(rows), BANDS), dtype=np.int64)
-        bands[paragraphs] = band_hashes(words)
-        arrays = [pa.array(c, t) for c, t in zip(columns, _SCHEMA.types)]
-        arrays += [pa.array(bands[:, k], mask=~paragraphs) for k in range(BANDS)]
-        return pa.RecordBatch.from_arrays(arrays, schema=_SCHEMA)
-
     for batch in batches:
-        rows, words = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for level, start, stop, own in passages(text.as_py() or ""):
-                key = _key(own)
-                if level == PARAGRAPH:
-                    line_start = start
-                    words.append(own)
-                rows.append((doc_id, level, start, stop, line_start, key, _code(key)))
-            if len(rows) >= 2_000:
-                yield flush(rows, words)
-                rows, words = [], []
-        if rows:
-            yield flush(rows, words)
+        for part in slices(batch, 1):
+            own = _Units(part.column(1))
+            if not own.paragraphs:
+                continue
+            doc_id = part.column(0).to_numpy()[own.text]
+            columns = [doc_id, own.level, own.start, own.stop, own.line_start, own.codes(), own.checks()]
+            arrays = [pa.array(c, t) for c, t in zip(columns, _SCHEMA.types)]
+            bands, sentences = _bands(*own.shingles()), pa.nulls(len(doc_id) - own.paragraphs, pa.int64())
+            arrays += [pa.concat_arrays([pa.array(bands[:, k]), sentences]) for k in range(BANDS)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_SCHEMA)
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
 
 
-def _bit(key: int) -> int:
-    return (key ^ key >> 32) & (_BITMAP_BITS - 1)
-
-
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(_BITMAP_BITS, dtype=bool)
-    for batch in batches:
-        codes = batch.column(0).to_numpy()
-        bits[(codes ^ codes >> 32) & (_BITMAP_BITS - 1)] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+def _spots(column: str) -> Column:
+    """The bit of a bitmap that stands for a hash."""
+    return F.col(column).bitwiseAND(F.lit(BITMAP_BITS - 1).cast("long")).alias("spot")
 
 
-def sketches(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sketches(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The hashes of each paragraph's shingles, each once and in order, how many these are, and their parity bits.
 
     Each hash flips one of ``SKETCH_BITS`` bits, so two sketches differ in no more bits than the sets do in members.
     """
-    flat, sizes = _shingle_hashes(paragraphs)
-    of = np.repeat(np.arange(len(paragraphs)), sizes)
+    of = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((flat, of))
     flat = flat[order]
     once = np.append(True, (flat[1:] != flat[:-1]) | (of[1:] != of[:-1]))
     flat, of = flat[once], of[once]
     spots = of * SKETCH_BITS + (flat % np.uint64(SKETCH_BITS)).astype(np.int64)
-    odd = np.bincount(spots, minlength=len(paragraphs) * SKETCH_BITS).astype(np.uint8) & 1
-    parity = np.packbits(odd.reshape(len(paragraphs), SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
-    return flat.view(np.int64), np.bincount(of, minlength=len(paragraphs)), parity
+    odd = np.bincount(spots, minlength=len(sizes) * SKETCH_BITS).astype(np.uint8) & 1
+    parity = np.packbits(odd.reshape(len(sizes), SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
+    return flat.view(np.int64), np.bincount(of, minlength=len(sizes)), parity
 
 
 def sketch(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """``sketches`` of one paragraph."""
-    hashes, _, parity = sketches([words])
+    hashes, _, parity = sketches(*_listed([words]))
     return hashes, parity[0]
 
 
 def _sketched(bitmap: bytes):
-    def flush(codes: list[int], words: list[list[bytes]]) -> pa.RecordBatch:
-        hashes, n, parity = sketches(words)
-        offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
-        columns = [pa.array(codes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(hashes)), pa.array(n, pa.int32())]
-        columns += [pa.array(parity[:, k]) for k in range(len(_SKETCH))]
-        return pa.RecordBatch.from_arrays(columns, names=["code", "shingles", "n", *_SKETCH])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap, dtype=np.uint8)
         for batch in batches:
-            codes, words = [], []
-            for text in batch.column(0):
-                for line in (text.as_py() or "").split("\n"):
-                    own = line.encode().lower().split()
-                    if len(own) >= MIN_WORDS:
-                        code = _code(_key(own))
-                        bit = _bit(code)
-                        if bits[bit >> 3] >> (7 - (bit & 7)) & 1:
-                            codes.append(code)
-                            words.append(own)
-                if len(codes) >= 2_000:
-                    yield flush(codes, words)
-                    codes, words = [], []
-            if codes:
-                yield flush(codes, words)
+            for part in slices(batch, 0):
+                own = _Units(part.column(0))
+                codes = own.codes()[: own.paragraphs]
+                chosen = np.flatnonzero(has(bits, codes & (BITMAP_BITS - 1)))
+                if not len(chosen):
+                    continue
+                hashes, n, parity = sketches(*own.shingles(chosen))
+                offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
+                columns = [pa.array(codes[chosen]), pa.ListArray.from_arrays(offsets, pa.array(hashes)), pa.array(n, pa.int32())]
+                columns += [pa.array(parity[:, k]) for k in range(len(_SKETCH))]
+                yield pa.RecordBatch.from_arrays(columns, names=["code", "shingles", "n", *_SKETCH])
 
     return run
 
@@ -222,12 +225,9 @@ def paragraph_sets(docs: DataFrame, codes: DataFrame) -> DataFrame:
 
     A bitmap of fixed size first keeps most other paragraphs from being hashed and shuffled; the join decides.
     """
-    parts = codes.coalesce(_BITMAP_PARTS).mapInArrow(_mark, "bits binary").collect()
-    bitmap = np.zeros(_BITMAP_BITS // 8, dtype=np.uint8)
-    for row in parts:
-        bitmap |= np.frombuffer(row.bits, dtype=np.uint8)
+    bitmap = _bitmap(codes.select(_spots("code")))
     schema = "code long, shingles array<long>, n int, " + ", ".join(f"{c} long" for c in _SKETCH)
-    found = _narrow(docs).select("text").mapInArrow(_sketched(bitmap.tobytes()), schema)
+    found = _narrow(docs).select("text").mapInArrow(_sketched(bitmap), schema)
     return found.dropDuplicates(["code"]).join(codes, "code", "left_semi")
 
 
@@ -248,11 +248,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where(F.col("common") / (F.size("x") + F.size("y") - F.col("common")) >= similarity).select("a", "b")
 
 
-def linked_paragraphs(docs: DataFrame, distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``(node, root)``: components of ``distinct(code, band0, ...)``, paragraphs that are similar enough."""
-    banded = distinct.select("code", F.posexplode(F.array(*_BAND_NAMES)).alias("band", "hash"))
-    shared = banded.groupBy("band", "hash").agg(F.min("code").alias("leader"), F.max("code").alias("last")).where("leader <> last")
-    members = staged(banded.join(shared.select("band", "hash", "leader"), ["band", "hash"]), "band-members")
+def _shared(bitmap: bytes):
+    """The bands of paragraphs whose hash the bitmap names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(bitmap, dtype=np.uint8)
+        for batch in batches:
+            codes = batch.column(0).to_numpy()
+            for k in range(BANDS):
+                hashes = batch.column(1 + k).to_numpy()
+                may = has(bits, hashes & (BITMAP_BITS - 1))
+                if may.any():
+                    columns = [pa.array(codes[may]), pa.array(np.full(int(may.sum()), k, dtype=np.int32)), pa.array(hashes[may])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["code", "band", "hash"])
+
+    return run
+
+
+def linked_paragraphs(docs: DataFrame, banded: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(node, root)``: components of the paragraphs ``banded(code, band0, ...)`` that are similar enough; rows may repeat.
+
+    Only hashes that several paragraphs have travel with their paragraphs: a bitmap of fixed size keeps most others back, the
+    join decides. Each hash names its band, as the band's number went into it.
+    """
+    hashes = banded.select("code", F.explode(F.array(*_BAND_NAMES)).alias("hash"))
+    shared = hashes.groupBy("hash").agg(F.min("code").alias("leader"), F.max("code").alias("last")).where("leader <> last")
+    shared = staged(shared.select("hash", "leader"), "shared-bands")
+    may = banded.select("code", *_BAND_NAMES).mapInArrow(_shared(_bitmap(shared.select(_spots("hash")))), "code long, band int, hash long")
+    members = staged(may.distinct().join(shared, "hash"), "band-members")
+    discard(shared)
     sets = staged(paragraph_sets(docs, members.select("code").distinct()), "band-sets")
     a, b = _sides(sets.select("code", "n", *_SKETCH))
 
@@ -264,7 +288,9 @@ def linked_paragraphs(docs: DataFrame, distinct: DataFrame, similarity: float =
     # What is left: pairs of a band in different components, so only bands with several.
     split = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     mixed = rooted.join(split.select("band", "hash"), ["band", "hash"]).join(sets.select("code", "n", *_SKETCH), "code")
-    mixed = mixed.join(distinct, "code")
+    # The bands that a paragraph shares with others; two have none else in common.
+    bands = members.groupBy("code").agg(*[F.max(F.when(F.col("band") == k, F.col("hash"))).alias(n) for k, n in enumerate(_BAND_NAMES)])
+    mixed = mixed.join(bands, "code")
     mixed = staged(mixed.select("code", "root", "band", "hash", "leader", "n", *_SKETCH, *_BAND_NAMES), "mixed-bands")
     a, b = _sides(mixed)
     same = (F.col("a_band") == F.col("b_band")) & (F.col("a_hash") == F.col("b_hash"))
@@ -318,19 +344,19 @@ def _repeated_units(docs: DataFrame, similarity: float) -> DataFrame:
     """``repeated_passages``, and whether a passage may be unlike the one that is kept (``near``)."""
     found = staged(_narrow(docs).mapInArrow(_find, _PASSAGE), "passages")
     place = _place(F.col("doc_id"), F.col("start"))
-    # Code and bands depend on the words alone, so any one of a group serves.
-    alike = [F.min(c).alias(c) for c in ("code", "level", *_BAND_NAMES)]
-    keys = staged(found.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), *alike), "passage-keys")
-    distinct = keys.where(F.col("level") == PARAGRAPH).select("code", *_BAND_NAMES)
-    roots = staged(linked_paragraphs(docs, distinct, similarity), "paragraph-roots")
+    keys = found.groupBy(*_KEY).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.min("level").alias("level"))
+    keys = staged(keys.where((F.col("n") > 1) | (F.col("level") == PARAGRAPH)), "passage-keys")
+    banded = found.where(F.col("level") == PARAGRAPH).select("code", *_BAND_NAMES)
+    roots = staged(linked_paragraphs(docs, banded, similarity), "paragraph-roots")
 
     everyone = roots.select(F.col("node").alias("code"), "root").unionByName(roots.select(F.col("root").alias("code"), "root").distinct())
-    linked = keys.where(F.col("level") == PARAGRAPH).join(everyone, "code").select("key", "level", "first", F.col("root").alias("group"))
-    equal = keys.where("n > 1").select("key", "level", "first", F.col("code").alias("group"))
+    linked = keys.where(F.col("level") == PARAGRAPH).join(everyone, "code").select(*_KEY, "level", "first", F.col("root").alias("group"))
+    equal = keys.where("n > 1").select(*_KEY, "level", "first", F.col("code").alias("group"))
     # A key that is linked goes by its root, others by their own code.
-    groups = linked.unionByName(equal.join(linked.select("key"), "key", "left_anti")).withColumnRenamed("level", "group_level")
-    names = found.select("doc_id", "level", "start", "stop", "key", place.alias("place"), _place(F.col("doc_id"), F.col("line_start")).alias("line"))
-    rows = staged(names.join(groups, "key").drop("key"), "repeated-passages")
+    groups = linked.unionByName(equal.join(linked.select(*_KEY), _KEY, "left_anti")).withColumnRenamed("level", "group_level")
+    rows = found.select("doc_id", "level", "start", "stop", "line_start", *_KEY).join(groups, _KEY).drop(*_KEY)
+    rows = rows.withColumns({"place": place, "line": _place(F.col("doc_id"), F.col("line_start"))}).drop("line_start")
+    rows = staged(rows, "repeated-passages")
     discard(found, keys, roots)
     decided, keepers = _keepers(rows)
     keep = staged(keepers, "kept-passages")

@@ -26,20 +26,20 @@ from quarterdeck.llm.common import discard, staged
 
 SPAN_WORDS = 50  # words in a row that two documents must share
 PRINT_WORDS = 18
-_BITMAP_BITS = 1 << 26  # eight megabytes that tell tasks which windows may have a copy
+BITMAP_BITS = 1 << 26  # eight megabytes that tell tasks which windows may have a copy
 _BITMAP_PARTS = 8
-_PART_BITS = _BITMAP_BITS // _BITMAP_PARTS
+_PART_BITS = BITMAP_BITS // _BITMAP_PARTS
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
-_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _PLACE_TYPES = [("doc_id", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("near", pa.bool_())]
 _PLACE = "doc_id long, at int, n int, start int, stop int, near boolean"
 _STRETCH = f"{_PLACE}, print long, hash long, check long, hashes array<long>, starts array<int>, stops array<int>"
 _STRETCH_TYPES = _PLACE_TYPES + [("print", pa.int64()), ("hash", pa.int64()), ("check", pa.int64())]
 _WINDOW = f"{_PLACE}, print long, hash long"
 _STRETCH_WINDOWS = 4096  # a longer stretch, of a text that repeats itself, is cut
-_SLICE_BYTES = 1 << 18  # of text whose windows are told at once
+_SLICE_BYTES = 1 << 17  # of text whose windows are told at once
 
 
 @cache
@@ -72,7 +72,7 @@ def _unspaced(raw: np.ndarray) -> np.ndarray:
 
 def words_at(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First bytes of words, and the bytes behind them."""
-    blank = _BLANK[raw]
+    blank = BLANK[raw]
     first = ~blank
     first[1:] &= blank[:-1]
     alone = np.flatnonzero(_unspaced(raw)) if len(raw) and raw.max() >= 0xE0 else ()
@@ -100,6 +100,31 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(least) - (width - half)], least[width - half :])
 
 
+def laid_out(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts laid end to end, with A-Z folded and a line end after each, and where each text begins."""
+    empty, line_end = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
+    # Folded before the cast: of a slice that was cast, Arrow's kernel folds the wrong bytes.
+    lowered = pc.fill_null(pc.ascii_lower(texts).cast(pa.large_string()), empty)
+    joined = pc.binary_join_element_wise(lowered, line_end, empty)
+    offsets = np.frombuffer(joined.buffers()[1], dtype=np.int64)[: len(texts) + 1]
+    return np.frombuffer(joined.buffers()[2], dtype=np.uint8)[: offsets[-1]], offsets
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return _rolling(_BYTES[raw], starts, ends, _BASES[0])
+
+
+def row_hashes(words: np.ndarray, at: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Hashes of words in a row, from the hashes of the words."""
+    return _rolling(words, at, behind, _BASES[0]).view(np.int64)
+
+
+def row_checks(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Further hashes of words in a row, from other hashes of the words themselves."""
+    words = _rolling(_BYTES[::-1][raw], starts, ends, _BASES[1])
+    return _rolling(words, at, behind, _BASES[1]).view(np.int64)
+
+
 class _Texts:
     """Word hashes of texts laid end to end, and for each of their windows the smallest hash of a run of words.
 
@@ -107,12 +132,7 @@ class _Texts:
     """
 
     def __init__(self, texts: pa.Array):
-        empty, line_end = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
-        # Folded before the cast: of a slice that was cast, Arrow's kernel folds the wrong bytes.
-        lowered = pc.fill_null(pc.ascii_lower(texts).cast(pa.large_string()), empty)
-        joined = pc.binary_join_element_wise(lowered, line_end, empty)
-        self.offsets = np.frombuffer(joined.buffers()[1], dtype=np.int64)[: len(texts) + 1]
-        self.raw = np.frombuffer(joined.buffers()[2], dtype=np.uint8)[: self.offsets[-1]]
+        self.raw, self.offsets = laid_out(texts)
         self.starts, self.ends = words_at(self.raw)
         self.firsts = np.searchsorted(self.starts, self.offsets)  # the number of each text's first word
         counts = np.maximum(np.diff(self.firsts) - SPAN_WORDS + 1, 0)
@@ -120,25 +140,17 @@ class _Texts:
         self.text = np.repeat(np.arange(len(texts)), counts)
         self.at = np.arange(len(self.text)) + np.repeat(self.firsts[:-1] - (np.cumsum(counts) - counts), counts)
         if len(self.at):
-            self.words = _rolling(_BYTES[self.raw], self.starts, self.ends, _BASES[0])
+            self.words = word_hashes(self.raw, self.starts, self.ends)
             runs = _grams(self.words, PRINT_WORDS, _BASES[1])
             self.prints = _smallest(runs, SPAN_WORDS - PRINT_WORDS + 1).view(np.int64)[self.at]
 
-    def hashes(self, at: np.ndarray, behind: np.ndarray) -> np.ndarray:
-        return _rolling(self.words, at, behind, _BASES[0]).view(np.int64)
-
-    def checks(self, at: np.ndarray, behind: np.ndarray) -> np.ndarray:
-        """Further hashes of words in a row, from other hashes of the words themselves."""
-        words = _rolling(_BYTES[::-1][self.raw], self.starts, self.ends, _BASES[1])
-        return _rolling(words, at, behind, _BASES[1]).view(np.int64)
-
     def places(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First code points of words and those behind them, over all texts, and of the texts."""
         chars = np.cumsum((self.raw & 0xC0) != 0x80)
         return chars[self.starts] - 1, chars[self.ends - 1], np.append(chars[self.offsets[:-1]] - 1, chars[-1])
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Rows with some text at a time, so that the arrays made of it stay small."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     parts = (sizes - 1) // _SLICE_BYTES
@@ -150,7 +162,7 @@ def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [np.zeros(0, np.int64)]
-        for part in _slices(batch, 0):
+        for part in slices(batch, 0):
             own = _Texts(part.column(0))
             if len(own.at):
                 new = np.append(True, (np.diff(own.prints) != 0) | (np.diff(own.text) != 0))
@@ -189,7 +201,7 @@ def _spot(places: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(38)).astype(np.int64)
 
 
-def _has(bits: np.ndarray, spot: np.ndarray) -> np.ndarray:
+def has(bits: np.ndarray, spot: np.ndarray) -> np.ndarray:
     return bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 > 0
 
 
@@ -201,7 +213,7 @@ def _stretches(bitmap: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap, dtype=np.uint8)
         for batch in batches:
-            for part in _slices(batch, 1):
+            for part in slices(batch, 1):
                 found = _slice_stretches(part, bits)
                 if found is not None:
                     yield found
@@ -213,7 +225,7 @@ def _slice_stretches(part: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch |
     own = _Texts(part.column(1))
     if not len(own.at):
         return None
-    may = _has(bits, own.prints & (_BITMAP_BITS - 1))
+    may = has(bits, own.prints & (BITMAP_BITS - 1))
     if not may.any():
         return None
     starts, stops, bases = own.places()
@@ -237,8 +249,8 @@ def _slice_stretches(part: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch |
     behind = head + n + SPAN_WORDS - 1
     doc_id = part.column(0).to_numpy()[text[first]]
     places = [doc_id, local[first], n, starts[head] - base, stops[behind - 1] - base, near[first], prints[first]]
-    whole = [*places, own.hashes(head, behind), own.checks(head, behind)]
-    each = [own.hashes(at, at + SPAN_WORDS), starts[at] - bases[text], stops[at + SPAN_WORDS - 1] - bases[text]]
+    whole = [*places, row_hashes(own.words, head, behind), row_checks(own.raw, own.starts, own.ends, head, behind)]
+    each = [row_hashes(own.words, at, at + SPAN_WORDS), starts[at] - bases[text], stops[at + SPAN_WORDS - 1] - bases[text]]
     arrays = [pa.array(c, t) for c, (_, t) in zip(whole, _STRETCH_TYPES)]
     offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
     for values, kind in zip(each, (pa.int64(), pa.int32(), pa.int32())):
@@ -253,7 +265,7 @@ def _apart(bitmap: bytes):
         bits = np.frombuffer(bitmap, dtype=np.uint8)
         for batch in batches:
             places = _place_number(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            batch = batch.filter(pa.array(_has(bits, _spot(places))))
+            batch = batch.filter(pa.array(has(bits, _spot(places))))
             doc_id, at, n, near, prints = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
             hashes, starts, stops = (batch.column(k).flatten() for k in range(5, 8))
             total = int(n.sum())
@@ -274,7 +286,7 @@ def _place_spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bitmap(spots: DataFrame) -> bytes:
     """A bit for each of ``spots(spot long)``. A task marks whole parts of it, so the driver gets each part about once."""
     parts = spots.repartition(_BITMAP_PARTS, F.floor(F.col("spot") / _PART_BITS)).mapInArrow(_mark, "part int, bits binary")
-    bitmap = np.zeros(_BITMAP_BITS // 8, dtype=np.uint8).reshape(_BITMAP_PARTS, -1)
+    bitmap = np.zeros(BITMAP_BITS // 8, dtype=np.uint8).reshape(_BITMAP_PARTS, -1)
     for row in parts.collect():
         bitmap[row.part] |= np.frombuffer(row.bits, dtype=np.uint8)
     return bitmap.tobytes()
@@ -300,7 +312,7 @@ def repeated_spans(docs: DataFrame, gone: DataFrame) -> DataFrame:
     ``SPAN_WORDS`` that also stands in a document with a smaller doc_id lies in a span.
     """
     shared = docs.select("text").mapInArrow(_prints, "print long").groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("print")
-    bitmap = _bitmap(shared.select(F.col("print").bitwiseAND(F.lit(_BITMAP_BITS - 1).cast("long")).alias("spot")))
+    bitmap = _bitmap(shared.select(F.col("print").bitwiseAND(F.lit(BITMAP_BITS - 1).cast("long")).alias("spot")))
 
     spans = gone.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "near")).alias("gone"))
     texts = docs.join(spans, "doc_id", "left").select("doc_id", "text", "gone")

@@ -219,3 +219,42 @@ def test_the_driver_gets_each_part_of_a_bitmap_once(spark):
     assert sorted(r.part for r in marked.select("part").collect()) == list(range(8))
     bits = np.unpackbits(np.frombuffer(spans._bitmap(spots), dtype=np.uint8), bitorder="little")
     assert np.array_equal(np.flatnonzero(bits), np.arange(0, 1 << 26, 997))
+
+
+def plain_passages(text):
+    """Paragraphs and sentences by splitting, ``(level, start, stop, words)``."""
+    at = 0
+    for line in text.split("\n"):
+        if len(line.encode().split()) >= 10:
+            yield 0, at, at + len(line), line.encode().lower().split()
+            ends = [0, *(m.end() for m in re.finditer(r"(?<=[.!?])[ \t]+", line)), len(line)]
+            for a, b in zip(ends, ends[1:]):
+                if len(ends) > 2 and len(line[a:b].encode().split()) >= 10:
+                    yield 1, at + a, at + b, line[a:b].encode().lower().split()
+        at += len(line) + 1
+
+
+def test_units_of_texts_laid_end_to_end_are_those_of_each_alone():
+    rng = random.Random(6)
+    bits = ["a", "B", "wörd", "x.", "y!", "é?", "漢字", " ", "\t", "\n", "\r\n", " \x0b", ". ", "… ", "😀", "\xa0", "."]
+    texts = ["", "x", ". a b c d e f g h i j. "] + ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.choice([1, 30, 200]))) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(len(texts))]), pa.array([None, *texts])], names=["doc_id", "text"]).slice(1)
+    found = [tuple(r.values()) for part in paragraphs._find(iter([batch])) for r in part.to_pylist()]
+    wanted = [(d, level, a, b) for d, t in enumerate(texts) for level, a, b, _ in plain_passages(t)]
+    assert sorted(r[:4] for r in found) == sorted(wanted) and len(wanted) > 100
+    keys = {r[:4]: r[5:7] for r in found}
+    words = {(d, level, a, b): tuple(w) for d, t in enumerate(texts) for level, a, b, w in plain_passages(t)}
+    assert len(set(keys.values())) == len(set(words.values()))
+    own = [r for r in found if r[1] == paragraphs.PARAGRAPH]
+    assert paragraphs.band_hashes([list(words[r[:4]]) for r in own]).tolist() == [list(r[7:]) for r in own]
+
+
+def test_only_bands_that_the_bitmap_names_travel():
+    codes, bands = np.arange(50), np.random.default_rng(3).integers(0, 2**62, (50, paragraphs.BANDS))
+    bits = np.zeros(spans.BITMAP_BITS // 8, dtype=np.uint8)
+    for hash_ in bands[7, :2]:
+        spot = int(hash_) & (spans.BITMAP_BITS - 1)
+        bits[spot >> 3] |= 1 << (spot & 7)
+    batch = pa.RecordBatch.from_arrays([pa.array(codes), *map(pa.array, bands.T)], names=["code", *paragraphs._BAND_NAMES])
+    rows = [tuple(r.values()) for b in paragraphs._shared(bits.tobytes())(iter([batch])) for r in b.to_pylist()]
+    assert rows == [(7, k, int(bands[7, k])) for k in range(2)]
