@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Names the row in the stages of the pipeline.
 ROW = "__row"
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,8 +37,14 @@ _folders: dict[str, SparkSession] = {}
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, and safe from lost executors."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf = shared_folder(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_SHUFFLE_CLEANUP)
+    # What was shuffled for the table goes once it is written, not when the driver collects its garbage.
+    conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_SHUFFLE_CLEANUP, before)
     _folders[path] = df.sparkSession
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
