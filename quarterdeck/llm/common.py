@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 #: Names the row in the stages of the pipeline.
 ROW = "__row"
 _SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,16 +36,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 _folders: dict[str, SparkSession] = {}
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, and safe from lost executors."""
+def staged(df: DataFrame, name: str, file_rows: int = 0, batch_rows: int = 0) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, and safe from lost executors.
+
+    For rows of some megabytes each: ``file_rows`` bounds the rows of a file, and so what its readers hold at once, and
+    ``batch_rows`` those that a Python step gets at once while ``df`` is worked out (0: as the session has it).
+    """
     path, conf = shared_folder(df.sparkSession, name), df.sparkSession.conf
-    before = conf.get(_SHUFFLE_CLEANUP)
     # What was shuffled for the table goes once it is written, not when the driver collects its garbage.
-    conf.set(_SHUFFLE_CLEANUP, "true")
+    during = {_SHUFFLE_CLEANUP: "true"} | ({_BATCH_ROWS: str(batch_rows)} if batch_rows else {})
+    before = {key: conf.get(key) for key in during}
+    for key, value in during.items():
+        conf.set(key, value)
     try:
-        df.write.parquet(path)
+        df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     finally:
-        conf.set(_SHUFFLE_CLEANUP, before)
+        for key, value in before.items():
+            conf.set(key, value)
     _folders[path] = df.sparkSession
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

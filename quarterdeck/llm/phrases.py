@@ -23,6 +23,8 @@ from quarterdeck.llm.common import staged
 WINDOW = 10  # words of a phrase
 SHARD_BYTES = 2 << 20  # of text in a shard, or one longer text
 BLOCK_WORDS = 1 << 18  # of test items handled at once
+_FILE_SHARDS = 8  # in a file of the index; Spark reads up to all rows of a file at once
+_STARTS = 1 << 18  # possible places of phrases held at once
 _PART_WORDS = 1 << 14  # of one test item; longer items are cut into parts that overlap
 
 _INDEX = "shard string, doc_ids array<long>, doc_words array<long>, terms array<binary>, ends binary, positions binary"
@@ -117,7 +119,7 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     A null text is a row without words; rows may repeat or lack a doc_id; other columns are not read; an empty table gives an empty index.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return staged(narrow.mapInArrow(_index(shard_bytes), _INDEX), "postings")
+    return staged(narrow.mapInArrow(_index(shard_bytes), _INDEX), "postings", file_rows=_FILE_SHARDS)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +148,7 @@ def _blocks(items: DataFrame, block_words: int) -> DataFrame:
     blocks = -(-total // block_words)
     dealt = parts.withColumn("block", F.pmod(F.xxhash64("part"), F.lit(max(blocks, 1))).cast("int"))
     grouped = dealt.groupBy("block").agg(F.collect_list(F.struct("item_id", "words")).alias("items"))
-    return staged(grouped, "blocks")
+    return staged(grouped, "blocks", file_rows=1)
 
 
 class Shard:
@@ -165,7 +167,8 @@ class Shard:
     def find(self, words: np.ndarray, first: np.ndarray, size: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, ...]]:
         """Occurrences of the phrases ``words[first : first + size]``: phrase, start, and whether exact, in slices.
 
-        ``words`` are numbers of the dictionary, -1 for a word it lacks.
+        ``words`` are numbers of the dictionary, -1 for a word it lacks. A slice holds phrases whole, and as many as have about
+        ``_STARTS`` possible starts, so that phrases of frequent words take no more room than others.
         """
         lengths = np.append((self.ends - self.starts), 0)[words]  # the last entry answers for -1
         width = int(size.max(initial=0))
@@ -180,10 +183,16 @@ class Shard:
             grid, counts, n = grid[held], counts[held], n[held]
             # Places of a phrase from its rarest word to its most frequent; places beyond a short phrase come last.
             order = np.argsort(np.where(steps < n[:, None], counts, self.total), axis=1, kind="stable")
-            phrase, starts = self._begin(words, grid, counts, order, slop)
-            for s in range(0, len(phrase), 1 << 18):
-                p, begin = phrase[s : s + (1 << 18)], starts[s : s + (1 << 18)]
-                yield from self._intersect(words, grid, order, n, p, begin, slop, at + held)
+            starts = np.cumsum(counts[np.arange(len(held)), order[:, 0]] * (2 * slop + 1))
+            cuts = np.flatnonzero(np.diff(starts // _STARTS, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(held)]):
+                yield self._places(words, grid[a:b], counts[a:b], order[a:b], n[a:b], slop, at + held[a:b])
+
+    def _places(self, words, grid, counts, order, n, slop, names) -> tuple[np.ndarray, ...]:
+        phrase, starts = self._begin(words, grid, counts, order, slop)
+        parts = range(0, max(len(phrase), 1), _STARTS)
+        found = [self._intersect(words, grid, order, n, phrase[s : s + _STARTS], starts[s : s + _STARTS], slop, names) for s in parts]
+        return tuple(np.concatenate(x) for x in zip(*found))
 
     def _begin(self, words, grid, counts, order, slop) -> tuple[np.ndarray, np.ndarray]:
         """Possible starts from the list of each phrase's rarest word."""
@@ -198,7 +207,7 @@ class Shard:
         spread = np.arange(-slop, slop + 1)
         return np.repeat(phrase, len(spread)), (found[:, None] + spread).ravel()
 
-    def _intersect(self, words, grid, order, n, phrase, begin, slop, names) -> Iterator[tuple[np.ndarray, ...]]:
+    def _intersect(self, words, grid, order, n, phrase, begin, slop, names) -> tuple[np.ndarray, ...]:
         inside = (begin >= 0) & (begin + n[phrase] < self.total)
         phrase, begin = phrase[inside], begin[inside]
         doc = np.searchsorted(self.doc_ends, begin, side="right")
@@ -218,7 +227,7 @@ class Shard:
                 own = np.searchsorted(self.keys, term + goal)
                 exact &= (self.keys[np.minimum(own, len(self.keys) - 1)] == term + goal) | ~due
             phrase, begin, low, high, exact = phrase[ok], begin[ok], low[ok], high[ok], exact[ok]
-        yield names[phrase], begin, exact
+        return names[phrase], begin, exact
 
 
 def _search(slop: int, spans: bool):
@@ -248,32 +257,29 @@ def _search(slop: int, spans: bool):
                 doc_words = counts[r].values.to_numpy()
                 shard = Shard(own, ends[r].as_py(), positions[r].as_py(), doc_words)
                 place = pc.fill_null(pc.index_in(distinct, value_set=own.cast(pa.large_binary())), -1).to_numpy().astype(np.int64)
-                found = [*shard.find(place[coded], first, size, slop)]
-                if not found:
-                    continue
-                phrase, start, exact = (np.concatenate(x) for x in zip(*found))
-                if slop:  # a start may come from several occurrences of the rarest word
-                    phrase, start, exact = np.unique(np.stack([phrase, start, exact]), axis=1)
-                    exact = exact.astype(bool)
-                doc = np.searchsorted(shard.doc_ends, start, side="right")
-                begin = start - np.append(0, shard.doc_ends)[doc]
-                which, words = item[phrase], size[phrase]
-                if spans:
-                    doc, which, begin, words = _merged(doc, which, begin, words)
-                    exact = np.ones(len(doc), bool)
-                for s in range(0, len(doc), 1 << 16):
-                    e = s + (1 << 16)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([names[r].as_py()] * len(doc[s:e]), pa.string()),
-                            pa.array(doc[s:e].astype(np.int32)),
-                            pa.array([item_ids[i] for i in which[s:e].tolist()], pa.string()),
-                            pa.array(begin[s:e]),
-                            pa.array(words[s:e].astype(np.int32)),
-                            pa.array(exact[s:e]),
-                        ],
-                        names=["shard", "doc", "item_id", "start", "words", "exact"],
-                    )
+                for phrase, start, exact in shard.find(place[coded], first, size, slop):
+                    if slop:  # a start may come from several occurrences of the rarest word
+                        phrase, start, exact = np.unique(np.stack([phrase, start, exact]), axis=1)
+                        exact = exact.astype(bool)
+                    doc = np.searchsorted(shard.doc_ends, start, side="right")
+                    begin = start - np.append(0, shard.doc_ends)[doc]
+                    which, words = item[phrase], size[phrase]
+                    if spans:
+                        doc, which, begin, words = _merged(doc, which, begin, words)
+                        exact = np.ones(len(doc), bool)
+                    for s in range(0, len(doc), 1 << 16):
+                        e = s + (1 << 16)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([names[r].as_py()] * len(doc[s:e]), pa.string()),
+                                pa.array(doc[s:e].astype(np.int32)),
+                                pa.array([item_ids[i] for i in which[s:e].tolist()], pa.string()),
+                                pa.array(begin[s:e]),
+                                pa.array(words[s:e].astype(np.int32)),
+                                pa.array(exact[s:e]),
+                            ],
+                            names=["shard", "doc", "item_id", "start", "words", "exact"],
+                        )
 
     return run
 
@@ -301,7 +307,8 @@ def _matches(index: DataFrame, items: DataFrame, slop: int, block_words: int, sp
         block = F.broadcast(blocks.where(F.col("block") == number))
         both = index.withColumn("block", F.lit(number)).join(block, "block")
         rows = both.select("shard", "doc_words", "terms", "ends", "positions", "block", "items")
-        found.append(staged(rows.mapInArrow(_search(slop, spans), _MATCHES), "matches"))
+        # One shard at a time goes to Python, with the block, whatever the number of shards in a task.
+        found.append(staged(rows.mapInArrow(_search(slop, spans), _MATCHES), "matches", batch_rows=1))
     if not found:
         return index.sparkSession.createDataFrame([], _MATCHES)
     out = found[0]

@@ -2,9 +2,13 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quarterdeck.llm import phrases
+from quarterdeck.llm.common import _BATCH_ROWS, staged
 from quarterdeck.llm.phrases import WINDOW
 from tests.llm.helpers import AWKWARD, documents, tuples
 
@@ -97,3 +101,34 @@ def test_empty_tables(spark):
     assert phrases.contamination(table.where("false"), tests).count() == 0
     assert tuples(phrases.contamination(table, tests.where("false")), *COLUMNS) == brute(docs, [])
     assert phrases.phrase_matches(phrases.build_index(table), tests.where("false")).count() == 0
+
+
+def test_index_is_read_in_small_files_and_searched_shard_by_shard(spark):
+    rows = [(k, f"word{k} and some more") for k in range(40)]
+    index = phrases.build_index(documents(spark, rows).coalesce(1), 1)
+    files = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+    assert sum(files) == 40 and max(files) <= phrases._FILE_SHARDS
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    before = spark.conf.get(_BATCH_ROWS)
+    seen = staged(index.select("shard").mapInArrow(sizes, "n long"), "sizes", batch_rows=1)
+    assert {r.n for r in seen.collect()} == {1} and spark.conf.get(_BATCH_ROWS) == before
+
+
+def test_places_of_frequent_words_are_held_in_bounded_slices(monkeypatch):
+    monkeypatch.setattr(phrases, "_STARTS", 100)
+    text, items = "a b " * 500, ["a", "b", "a b", "b a b", "c"] * 8
+    batches = [*phrases._index(1 << 20)(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})]))]
+    doc_words, terms, ends, positions = (batches[0].column(k)[0] for k in (2, 3, 4, 5))
+    shard = phrases.Shard(terms.values, ends.as_py(), positions.as_py(), doc_words.values.to_numpy())
+    own = [w.encode() for i in items for w in i.split()]
+    known = {w: k for k, w in enumerate(terms.values.to_pylist())}
+    size = np.array([len(i.split()) for i in items])
+    found = [*shard.find(np.array([known.get(w, -1) for w in own]), np.cumsum(size) - size, size, 0)]
+    assert max(len(np.unique(phrase)) for phrase, _, _ in found) == 1
+    places = sorted((int(p), int(s)) for phrase, start, _ in found for p, s in zip(phrase, start))
+    flat = text.split()
+    assert places == [(p, s) for p, i in enumerate(items) for s in range(len(flat)) if flat[s : s + len(i.split())] == i.split()]
