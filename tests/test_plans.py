@@ -386,3 +386,26 @@ def test_odd_link_tables(spark):
     page = f"<div id=formDiv><table><tr><th>Seq<th>Document<th>Size</tr>{body}</table></div>"
     found = links.extract_links(spark.createDataFrame([("h", "c", 2020.1, page)], "HashIndex string, CIK string, YearQuarter double, HTML string"))
     assert {(str(r.Seq), r.Document) for r in found.collect()} == {(seq, text) for *_, seq, text in cells}
+
+
+def test_merge_moves_rows_once(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "YearQtr string, k string, v int, w string"
+    first = [("q", "a", 2, "x"), ("q", None, 1, "x"), (None, "b", 1, "x"), ("s", "z", 1, "x")]
+    tables.merge_new(spark, spark.createDataFrame(first, schema), path, ["k"], ["v"])
+    again = [("q", "a", 1, "y"), ("q", None, 1, "y"), ("q", None, 0, "n"), (None, "b", 0, "y"), ("q", "c", 5, "y"), ("q", "c", 4, "n"), ("r", "a", 7, "y")]
+    new = spark.createDataFrame(again, schema)
+    found = tables.first_unknown(new, tables.touched(spark.read.parquet(path), new), ["YearQtr", "k"], ["v"])
+    # Known keys meet the new rows in the shuffle that finds the first of each key, and copies drop out before it.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and plan.count("WindowGroupLimit") == 2
+    # A null key is known to no table.
+    added = [("q", None, 0, "n"), (None, "b", 0, "y"), ("q", "c", 4, "n"), ("r", "a", 7, "y")]
+    assert sorted(map(tuple, found.select("YearQtr", "k", "v", "w").collect()), key=str) == sorted(added, key=str)
+    tables.merge_new(spark, new, path, ["k"], ["v"], quarters=["q", "r"])
+    merged = spark.read.parquet(path)
+    assert sorted(map(tuple, merged.select("YearQtr", "k", "v", "w").collect()), key=str) == sorted(first + added, key=str)
+    # One file for a small quarter in a run.
+    files = merged.select("YearQtr", F.input_file_name()).distinct().groupBy("YearQtr").count()
+    assert {r["YearQtr"]: r["count"] for r in files.collect()} == {"q": 2, "r": 1, "s": 1, None: 2}
+    tables.merge_new(spark, new.filter("false"), path, ["k"], ["v"])
+    assert spark.read.parquet(path).count() == 8
