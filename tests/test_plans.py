@@ -4,6 +4,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from quarterdeck.checks import queries
+from quarterdeck.operators import keys
 from quarterdeck.plans import documents, index, landing, links, periods
 from quarterdeck.schemas import DOC_LINKS, MASTER_INDEX
 from quarterdeck.sinks import tables
@@ -409,3 +410,26 @@ def test_merge_moves_rows_once(spark, tmp_path):
     assert {r["YearQtr"]: r["count"] for r in files.collect()} == {"q": 2, "r": 1, "s": 1, None: 2}
     tables.merge_new(spark, new.filter("false"), path, ["k"], ["v"])
     assert spark.read.parquet(path).count() == 8
+
+
+def test_many_copies_move_no_body(spark, tmp_path):
+    """Far more copies than pages, and no room to broadcast their rows."""
+    schema = "HashIndex string, CIK string, YearQuarter double, YearQtr string, HTML string, Error string, Status int"
+    rows = [(f"h{k % 50}", "c", 2020.1, "2020-1", f"page {k % 50}", None, 200) for k in range(2000)]
+    cut, limit = links.cut_table(spark.createDataFrame(rows, schema)), "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, "-1")
+    try:
+        pages = links.new_pages(spark, cut, str(tmp_path / "Pages"))
+        assert sorted(r.HTML for r in pages.collect()) == sorted(f"page {k}" for k in range(50))
+        plan = pages._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_marked_numbers_are_found(spark):
+    numbers = [0, 1, 2, 7, 8, 32767, 32768, 32769, 65536, 1 << 33, (1 << 33) + 1, (5 << 33) + 40000]
+    kept = spark.createDataFrame([(n,) for n in numbers], "n long")
+    around = spark.createDataFrame([(n + d, "x") for n in numbers for d in (-1, 0, 1) if n + d >= 0], "n long, v string").distinct()
+    found = keys.only_marked(around, keys.marked(kept, "n"), "n")
+    assert found.columns == ["n", "v"] and sorted(r.n for r in found.collect()) == numbers
