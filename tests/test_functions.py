@@ -2,7 +2,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from quarterdeck.functions import clean, html, ids, names, text, urls
+from quarterdeck.functions import clean, fragments, html, ids, names, text, urls
 
 
 def one(spark, column, *values):
@@ -128,3 +128,19 @@ def test_undecodable_bytes_are_null(spark):
     rows = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"a\xff"),), (None,)], "b binary")
     for name, wanted in {"US-ASCII": ["ok", None, None], "latin-1": ["ok", "aÿ", None], "UTF-8": ["ok", "a�", None], "shift_jis": ["ok", None, None]}.items():
         assert [r[0] for r in rows.select(decode_text(F.col("b"), name)).collect()] == wanted, name
+
+
+def test_start_tags_are_read_once(monkeypatch):
+    read, whole = [], fragments._selectors
+    monkeypatch.setattr(fragments, "_selectors", lambda attributes: read.append(attributes) or whole(attributes))
+    monkeypatch.setattr(fragments, "_KNOWN_TAGS", 8)
+    cutter = fragments.Cutter([("k", ".box", ".x"), ("t", None, "table")])
+    page = "<div class='box'><i class=x>1</i><I CLASS=x>2</I></div><table><tr><td>3</table>"
+    cut = [("k", "1"), ("k", "2"), ("t", "<tr><td>3")]
+    for _ in range(50):
+        assert [(piece["kind"], piece["html"]) for piece in cutter.cut(page)] == cut
+    assert len(read) == 4
+    # However many there are, only some are kept.
+    for k in range(50):
+        assert [piece["html"] for piece in cutter.cut(f"<p id=p{k} class='box'><b class='x b{k}'>{k}</b></p>")] == [str(k)]
+        assert len(cutter.known) <= 8
